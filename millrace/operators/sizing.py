@@ -1,0 +1,18 @@
+"""Broadcast only what has been counted."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows.
+
+    The count stops at the limit. A larger side is returned as it is, so the
+    join shuffles and AQE splits skewed keys. Meant for narrow metadata (one
+    row per file, month or threshold) whose plan is cheap to count.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
