@@ -7,14 +7,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: list[str], order: list[Column], order_is_total: bool = False
+) -> DataFrame:
     """First row per key in ``order``, NULL keys dropped.
 
     Ties are broken by every remaining column, so the winner never depends on
-    task order. ``row_number() = 1`` becomes a group limit that runs before
-    the shuffle: each map task sends one row per key, however hot the key is.
+    task order; ``order_is_total`` says that ``order`` leaves no ties, which
+    spares reading columns nobody else asks for. ``row_number() = 1`` becomes
+    a group limit that runs before the shuffle: each map task sends one row
+    per key, however hot the key is.
     """
-    rest = [F.col(f"`{c}`").desc() for c in df.columns if c not in keys]
+    rest = [] if order_is_total else [F.col(f"`{c}`").desc() for c in df.columns if c not in keys]
     w = W.partitionBy(*keys).orderBy(*order, *rest)
     return (
         df.dropna(subset=keys).withColumn("_rank", F.row_number().over(w))

@@ -39,13 +39,15 @@ def staffing_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (provnum, workdate)."""
     order = [F.col(c).desc() for c in ("l_orderkey", "l_linenumber", "l_partkey", "hrs_rn")]
-    return latest_per_key(staffing_raw(spark, sf_dir), ["provnum", "workdate"], order)
+    return latest_per_key(staffing_raw(spark, sf_dir), ["provnum", "workdate"], order, order_is_total=True)
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month snapshots per provider, some months missing.
 
-    Line items fold to (supplier, month) before they meet the suppliers.
+    Line items fold to (supplier, month) before they meet the suppliers. Flags
+    are one character, aggregated by code: numeric buffers hash where text
+    buffers would sort every row.
     """
     month = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("mk")
     monthly = (
@@ -54,9 +56,10 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where((F.col("l_suppkey") * 31 + F.col("mk")) % 13 != 0)
         .groupBy("l_suppkey", "mk")
         .agg(
-            F.max("l_returnflag").alias("flag"), F.min("l_linestatus").alias("provider_type"),
+            F.max(F.ascii("l_returnflag")).alias("flag"), F.min(F.ascii("l_linestatus")).alias("status"),
             F.count("*").alias("n"),
         )
+        .withColumns({"flag": F.chr("flag"), "provider_type": F.chr("status")})
     )
     suppliers = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
