@@ -35,7 +35,7 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
 
 def replace_undecodable(c: Column | str) -> Column:
     """Bytes the UTF-8 reader could not decode become ``?``."""
-    return F.translate(col(c), UNDECODABLE, "?")
+    return F.replace(col(c), F.lit(UNDECODABLE), F.lit("?"))
 
 
 def file_name(path: Column | str) -> Column:

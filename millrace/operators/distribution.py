@@ -5,6 +5,8 @@ These read their input more than once; cache it when it is costly to compute.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,87 +27,103 @@ def labelled(df: DataFrame, columns: list[str], labels: dict[str, str] = LABELS)
     return df.select(*[F.col(c).alias(labels.get(c, c)) for c in columns])
 
 
-def quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000) -> Column:
-    """Exact interpolated quantile as a scalar subquery, NULLs ignored.
+def quantiles(df: DataFrame, wanted: dict[str, float], accuracy: int = 10_000) -> dict[str, float | None]:
+    """Exact interpolated quantile of each column in ``wanted``, NULLs ignored.
 
     Equals ``percentile`` without gathering every distinct value in one task.
-    A sketch brackets the quantile, the rows outside the bracket are only
-    counted, and the distinct values inside it (about 8/accuracy of the rows)
-    are ranked by one task. Should the counts show that the bracket missed,
-    that side is left open: slower, still exact.
+    Like ``approxQuantile`` it runs at once and returns plain numbers. Three
+    passes serve all columns: a sketch brackets each quantile, the rows outside
+    the brackets are counted, and the distinct values inside (about 8/accuracy
+    of the rows) are ranked. Should the counts show that a bracket missed, that
+    side is left open: slower, still exact.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL")
+    names = list(wanted)
+    xs = df.select(*[F.col(c).cast("double").alias(c) for c in names])
     slack = 4 / accuracy
-    cuts = F.percentile_approx("x", [max(q - slack, 0.0), min(q + slack, 1.0)], accuracy)
-    sketch = values.agg(F.count("x").alias("n"), cuts.alias("cut")).select(
-        F.struct(
-            "n",
-            (F.lit(q) * (F.col("n") - 1)).alias("at"),
-            F.col("cut")[0].alias("low"),
-            F.col("cut")[1].alias("high"),
-        ).alias("s")
-    ).scalar()
-
-    below = F.count_if(F.col("x") < sketch["low"])
-    above = F.count_if(F.col("x") > sketch["high"])
-    sides = values.agg(below.alias("below"), above.alias("above")).select(
-        "*", sketch.alias("s")
-    ).select("s.*", "*")
-    low_holds = F.col("below") <= F.floor("at")
-    high_holds = F.col("above") <= F.col("n") - 1 - F.ceil("at")
-    bracket = sides.select(
-        F.struct(
-            "at",
-            F.when(low_holds, F.col("low")).alias("low"),
-            F.when(high_holds, F.col("high")).alias("high"),
-            F.when(low_holds, F.col("below")).otherwise(F.lit(0)).alias("before"),
-        ).alias("b")
-    ).scalar()
-
-    near = values.where(
-        (bracket["low"].isNull() | (F.col("x") >= bracket["low"]))
-        & (bracket["high"].isNull() | (F.col("x") <= bracket["high"]))
-    )
-    ranked = near.groupBy("x").agg(F.count("*").alias("copies")).select(
-        "x",
-        (F.sum("copies").over(W.orderBy("x").rowsBetween(W.unboundedPreceding, 0)) + bracket["before"])
-        .alias("rank"),
+
+    def cuts(c: str, q: float) -> Column:
+        return F.percentile_approx(c, [max(q - slack, 0.0), min(q + slack, 1.0)], accuracy)
+
+    sketch = xs.agg(
+        *[F.struct(F.count(c).alias("n"), cuts(c, q).alias("cuts")).alias(c) for c, q in wanted.items()]
+    ).first()
+    found = [c for c in names if sketch[c].n > 0]
+    if not found:
+        return dict.fromkeys(names)
+    outside = xs.agg(
+        *[
+            F.struct(
+                F.count_if(F.col(c) < sketch[c].cuts[0]).alias("below"),
+                F.count_if(F.col(c) > sketch[c].cuts[1]).alias("above"),
+            ).alias(c)
+            for c in found
+        ]
+    ).first()
+
+    near, places = [], []
+    for c in found:
+        n, (low, high) = sketch[c].n, sketch[c].cuts
+        at = wanted[c] * (n - 1)
+        low_holds = outside[c].below <= math.floor(at)
+        high_holds = outside[c].above <= n - 1 - math.ceil(at)
+        inside = F.col(c).isNotNull()
+        if low_holds:
+            inside &= F.col(c) >= low
+        if high_holds:
+            inside &= F.col(c) <= high
+        near.append(F.struct(F.lit(c).alias("name"), F.when(inside, F.col(c)).alias("x")))
+        places.append(F.struct(
+            F.lit(c).alias("name"), F.lit(at).alias("at"),
+            F.lit(outside[c].below if low_holds else 0).alias("before"),
+        ))
+    values = xs.select(F.inline(F.array(*near))).where("x IS NOT NULL")
+    upto = W.partitionBy("name").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    place = F.filter(F.array(*places), lambda p: p["name"] == F.col("name"))[0]
+    ranked = (
+        values.groupBy("name", "x").agg(F.count("*").alias("copies"))
+        .select("name", "x", F.sum("copies").over(upto).alias("rank"), place.alias("p"))
+        .withColumn("rank", F.col("rank") + F.col("p.before"))
     )
-    at = bracket["at"]
-    ends = ranked.agg(
-        F.min(F.when(F.col("rank") > F.floor(at), F.col("x"))).alias("a"),
-        F.min(F.when(F.col("rank") > F.ceil(at), F.col("x"))).alias("b"),
+    ends = ranked.groupBy("name").agg(
+        F.min(F.when(F.col("rank") > F.floor("p.at"), F.col("x"))).alias("a"),
+        F.min(F.when(F.col("rank") > F.ceil("p.at"), F.col("x"))).alias("b"),
+        F.max(F.col("p.at") - F.floor("p.at")).alias("part"),
     )
-    return ends.select(F.col("a") + (F.col("b") - F.col("a")) * (at - F.floor(at))).scalar()
+    value = (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value")
+    exact = {r.name: r.value for r in ends.select("name", value).collect()}
+    return {c: exact.get(c) for c in names}
 
 
 def thresholds(facilities: DataFrame) -> DataFrame:
     """10th percentile of staffing and 90th of contract mix, one row."""
+    at = quantiles(facilities, {"hprd": 0.10, "contract_mix": 0.90})
     return facilities.sparkSession.range(1).select(
-        quantile(facilities, "hprd", 0.10).alias("hprd_p10"),
-        quantile(facilities, "contract_mix", 0.90).alias("mix_p90"),
+        F.lit(at["hprd"]).cast("double").alias("hprd_p10"),
+        F.lit(at["contract_mix"]).cast("double").alias("mix_p90"),
     )
 
 
 def clipped(df: DataFrame, column: str, alias: str, q: float = 0.99) -> DataFrame:
     """Rows that have ``column``, plus a copy clipped at its upper quantile."""
-    return df.dropna(subset=[column]).withColumn(alias, F.least(F.col(column), quantile(df, column, q)))
+    upper = F.lit(quantiles(df, {column: q})[column]).cast("double")
+    return df.dropna(subset=[column]).withColumn(alias, F.least(F.col(column), upper))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """Equal-width bins between minimum and maximum; empty bins are absent.
 
-    Rows combine into at most ``bins`` groups before the shuffle.
+    The bounds are one row; rows combine into at most ``bins`` groups before
+    the shuffle.
     """
     x = F.col(column)
-    span = df.agg(F.struct(F.min(x).alias("low"), F.max(x).alias("high")).alias("span")).scalar()
-    low, width = span["low"], (span["high"] - span["low"]) / bins
-    place = F.when(width > 0, F.least(F.floor((x - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    low, high = df.agg(F.min(x).cast("double"), F.max(x).cast("double")).first()
+    width = (high - low) / bins if low is not None else 0.0
+    place = F.least(F.floor((x - low) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
     return (
         df.dropna(subset=[column])
         .groupBy(place.cast("int").alias("bin"))
         .agg(F.count("*").alias("facilities"))
-        .select("bin", (low + F.col("bin") * width).alias("bin_low"), "facilities")
+        .select("bin", (F.lit(low) + F.col("bin") * F.lit(width)).alias("bin_low"), "facilities")
     )
 
 
@@ -129,7 +147,7 @@ def flag_outliers(facilities: DataFrame) -> DataFrame:
     Critical below ``HPRD_LOW``; serious below ``HPRD_TARGET`` or with a
     contract mix above its 90th percentile. A NULL mix never flags.
     """
-    mix_p90 = quantile(facilities, "contract_mix", 0.90)
+    mix_p90 = F.lit(quantiles(facilities, {"contract_mix": 0.90})["contract_mix"])
     flag = F.when(F.col("hprd") < HPRD_LOW, "critical").when(
         (F.col("hprd") < HPRD_TARGET) | (F.col("contract_mix") > mix_p90), "serious"
     )

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.keys import date_of
-from millrace.operators.quality import duplicate_keys
 
 LONG_TEXT = 64
 
@@ -150,12 +150,29 @@ def day_span(df: DataFrame, day_key: str) -> DataFrame:
 
 
 def grain_test(df: DataFrame, candidates: list[list[str]]) -> DataFrame:
-    """Repeated keys per candidate key; a grain has none."""
-    tested = [
-        duplicate_keys(df, keys).agg(F.count("*").alias("duplicate_keys")).select(
-            F.lit("+".join(keys)).alias("candidate"), "duplicate_keys",
-            (F.col("duplicate_keys") == 0).alias("is_grain"),
+    """Repeated keys per candidate key; a grain has none. NULL keys ignored.
+
+    Grouping sets count every candidate in one scan and one shuffle, and the
+    counts combine before it.
+    """
+    columns = list(dict.fromkeys(c for keys in candidates for c in keys))
+    grouped = df.groupingSets([[F.col(c) for c in keys] for keys in candidates], *columns).agg(
+        F.grouping_id().alias("set"), F.count("*").alias("copies")
+    )
+
+    def set_id(keys: list[str]) -> int:
+        return sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys)
+
+    candidate = F.coalesce(*[
+        F.when(
+            (F.col("set") == set_id(keys)) & reduce(and_, [F.col(c).isNotNull() for c in keys]),
+            F.lit("+".join(keys)),
         )
         for keys in candidates
-    ]
-    return _union(tested)
+    ])
+    repeated = F.count_if(F.col("copies") > 1)
+    return (
+        grouped.withColumn("candidate", candidate).dropna(subset=["candidate"])
+        .groupBy("candidate")
+        .agg(repeated.alias("duplicate_keys"), (repeated == 0).alias("is_grain"))
+    )

@@ -14,7 +14,7 @@ from millrace.operators import (
 )
 from millrace.operators.sizing import broadcast_if_small
 from millrace.plans import standins as S
-from millrace.session import scratch_path
+from millrace.session import scratch_path, written
 from millrace.sources import drops
 from millrace.sources.layouts import Field, Layout
 from millrace.streaming import drops as streams
@@ -116,7 +116,7 @@ def typed_load(spark, sf_dir):
     rows = S.staffing_raw(spark, sf_dir).select(FEED.names)
     rows.toDF(*[f"column {i}" for i in range(len(FEED.names))]).write.option("header", True).csv(drop)
     raw = drops.read_positional(spark, drop, FEED)
-    checked = quality.check_types(raw, FEED.fields, FEED.key, drops.MALFORMED)
+    checked = written(quality.check_types(raw, FEED.fields, FEED.key, drops.MALFORMED), "parsed")
     whole = quality.without_files(checked, quality.bad_files(checked, drops.SOURCE_FILE), drops.SOURCE_FILE)
     return quality.apply_types(whole.select(FEED.names), FEED.fields)
 
@@ -142,8 +142,10 @@ def undecodable_text(spark, sf_dir):
 
 @query
 def reject_files(spark, sf_dir):
-    checked = quality.check_types(S.raw_texts(spark, sf_dir), RAW_FIELDS, ["provnum"])
-    whole = quality.without_files(checked, quality.bad_files(checked, "file"), "file")
+    rows = S.raw_texts(spark, sf_dir)
+    checked = quality.check_types(rows, RAW_FIELDS, ["provnum"])
+    bad = written(quality.bad_files(checked, "file"), "bad")
+    whole = quality.without_files(rows, bad, "file")
     return whole.groupBy("file").agg(F.count("*").alias("rows_loaded"))
 
 
