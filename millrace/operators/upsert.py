@@ -18,7 +18,8 @@ def latest_per_key(
     a group limit that runs before the shuffle: each map task sends one row
     per key, however hot the key is.
     """
-    rest = [] if order_is_total else [F.col(f"`{c}`").desc() for c in df.columns if c not in keys]
+    columns = ", ".join(f"`{c}`" for c in df.columns if c not in keys)
+    rest = [F.expr(f"struct({columns})").desc()] if columns and not order_is_total else []
     w = W.partitionBy(*keys).orderBy(*order, *rest)
     return (
         df.dropna(subset=keys).withColumn("_rank", F.row_number().over(w))
@@ -74,14 +75,15 @@ def replace_matching(target: DataFrame, incoming: DataFrame, keys: list[str]) ->
 
 
 def _outer_pick(target: DataFrame, incoming: DataFrame, keys: list[str], new_wins: Column) -> DataFrame:
-    values = [c for c in target.columns if c not in keys]
+    columns = target.columns
+    values = ", ".join(f"`{c}`" for c in columns if c not in keys)
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.struct(*[F.col(f"`{c}`") for c in values]).alias(name))
+        return df.selectExpr(*keys, f"struct({values}) AS {name}")
 
     both = side(target, "_old").join(side(incoming, "_new"), keys, "full_outer")
     picked = F.when(F.col("_new").isNotNull() & new_wins, F.col("_new")).otherwise(F.col("_old"))
-    return both.select(*keys, picked.alias("_row")).select(*keys, "_row.*").select(target.columns)
+    return both.select(*keys, picked.alias("_row")).select(*keys, "_row.*").select(columns)
 
 
 def replace_snapshots(

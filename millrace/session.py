@@ -21,6 +21,7 @@ def local_session(cores: str = "*", app: str = "millrace", **conf: str) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for name, value in conf.items():
