@@ -154,7 +154,9 @@ def test_lookup_keeps_rows_and_defaults(spark):
     ("decimal(4,2)", "999.99", "type"), ("decimal(4,2)", "12.345", None), ("smallint", "40000", "type"),
     ("smallint", "-32768", None), ("int", "x", "type"), ("varchar(2)", "abc", "length"), ("varchar(2)", "é", None),
     ("varchar(2)", "éa", "length"), ("boolean", "Y", None), ("boolean", "maybe", "type"), ("date", "2024-02-30", "type"),
-    ("int", None, None),
+    ("int", None, None), ("int", " -2147483648 ", None), ("int", "2147483648", "type"), ("int", "12.5", "type"),
+    ("int", "00000000000000000000007", None), ("bigint", "9223372036854775807", None),
+    ("bigint", "9223372036854775808", "type"), ("boolean", " FALSE ", None), ("boolean", "2", "type"),
 ])
 def test_type_rules(spark, kind, value, rule):
     df = spark.createDataFrame([(value,)], "c string")
