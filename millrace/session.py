@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,20 @@ def local_session(cores: str = "*", app: str = "millrace", **conf: str) -> Spark
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> SparkSession:
+    """Put this package's parent folder on the search path of Python workers.
+
+    Enough where workers see the folder (one machine, a shared one); elsewhere
+    ship the package with ``--py-files`` or install it.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([*paths, root])
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
