@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, mixing, sharding
+from millrace.llm import bpe, exact_dedup, jaccard, mixing, sharding
+from millrace.session import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(let_workers_import(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
+
+
+def vocabulary_path() -> str:
+    """The tokenizer file that the contract names."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,3 +52,13 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix_counts(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", F.col("source_size").cast("long"), "target", "taken"
     )
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), vocabulary_path()))
+
+
+@query
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"), words=4, percent=85)
