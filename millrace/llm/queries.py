@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, jaccard, mixing, sharding, toxicity
+from millrace.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, toxicity
 from millrace.session import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,12 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+@query
+def op9_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.fitted(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op10_jaccard_join(spark, sf_dir):
     return jaccard.linked_documents(table(spark, sf_dir, "documents"), words=4, percent=85)
