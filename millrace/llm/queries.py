@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, toxicity
+from millrace.llm import bpe, exact_dedup, html_text, jaccard, mixing, quality, sharding, toxicity
 from millrace.session import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,13 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+@query
+def op7_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    found = html_text.extracted(pages, html_text.fitted(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
