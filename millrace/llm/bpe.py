@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 #: Fixed value: the pre-token pattern of byte-level BPE.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = 1 << 30
-CACHED_PIECES = 1 << 17
+CACHED_PIECES = 1 << 19
 ROWS = 256
 
 
@@ -78,8 +78,7 @@ class Vocabulary:
             tree[node] = a if a <= b else b
         before, after = list(range(-1, count - 1)), list(range(1, count + 1))
 
-        def put(leaf: int, rank: int) -> None:
-            node = width + leaf
+        def put(node: int, rank: int) -> None:
             tree[node] = rank
             while node > 1:
                 a, b = tree[node], tree[node ^ 1]
@@ -100,15 +99,18 @@ class Vocabulary:
             symbols[left] = self.merged[best]
             symbols[right] = -1
             beyond = after[left] = after[right]
-            if right < count - 1:
-                put(right, NO_RANK)
+            if right < count - 1 and tree[width + right] != NO_RANK:
+                put(width + right, NO_RANK)
             if beyond < count:
                 before[beyond] = left
-                put(left, rank_of((symbols[left] << 32) | symbols[beyond], NO_RANK))
+                put(node, rank_of((symbols[left] << 32) | symbols[beyond], NO_RANK))
             else:
-                put(left, NO_RANK)
-            if (ahead := before[left]) >= 0:
-                put(ahead, rank_of((symbols[ahead] << 32) | symbols[left], NO_RANK))
+                put(node, NO_RANK)
+            ahead = before[left]
+            if ahead >= 0:
+                rank = rank_of((symbols[ahead] << 32) | symbols[left], NO_RANK)
+                if rank != tree[width + ahead]:
+                    put(width + ahead, rank)
         return [s for s in symbols if s >= 0]
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:

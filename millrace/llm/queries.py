@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, html_text, jaccard, mixing, quality, sharding, toxicity
+from millrace.llm import bpe, exact_dedup, html_text, jaccard, mixing, quality, secrets, sharding, token_counts, toxicity
 from millrace.session import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,13 @@ def op2_exact_dedup(spark, sf_dir):
     )
 
 
+@query
+def op3_secret_scan(spark, sf_dir):
+    """Spans and scores; the values themselves stay out of the report."""
+    found = secrets.scanned(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
 @query
 def op4_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=8)
@@ -71,6 +78,12 @@ def op7_html_extraction(spark, sf_dir):
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op8_token_counts(spark, sf_dir):
+    """Token counts before and after masking addresses, keys and numbers."""
+    return token_counts.edited_counts(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

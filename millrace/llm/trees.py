@@ -16,6 +16,16 @@ BINS = 64
 RIDGE = 1.0
 
 
+def descend(feature: np.ndarray, cut: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Leaf number of every row of ``x`` in every tree, (rows, trees)."""
+    trees, nodes = feature.shape
+    at = np.zeros((len(x), trees), np.int64)
+    tree, row = np.arange(trees)[None, :], np.arange(len(x))[:, None]
+    for _ in range((nodes + 1).bit_length() - 1):
+        at = 2 * at + 1 + (x[row, feature[tree, at]] > cut[tree, at])
+    return at - nodes
+
+
 @dataclass(frozen=True)
 class Forest:
     """``feature``, ``cut``: (trees, 2**depth - 1), value above ``cut`` goes right; ``leaf``: (trees, 2**depth)."""
@@ -27,13 +37,8 @@ class Forest:
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Probability of label 1 for each row of ``x``."""
-        trees, nodes = self.feature.shape
-        at = np.zeros((len(x), trees), np.int64)
-        tree, row = np.arange(trees)[None, :], np.arange(len(x))[:, None]
-        for _ in range((nodes + 1).bit_length() - 1):
-            right = x[row, self.feature[tree, at]] > self.cut[tree, at]
-            at = 2 * at + 1 + right
-        margin = self.start + self.leaf[tree, at - nodes].sum(axis=1)
+        leaf = descend(self.feature, self.cut, x)
+        margin = self.start + self.leaf[np.arange(len(self.leaf)), leaf].sum(axis=1)
         return 1 / (1 + np.exp(-margin))
 
 
