@@ -114,12 +114,12 @@ def _told_apart(
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns."""
     found = exact_duplicates(docs, id_col, text_col).select(
-        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_points"),
-        F.col("kept").alias("_kept"),
+        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n_points").alias("__points"),
+        F.col("kept").alias("__kept"),
     )
     keys = {
-        "_id": F.col(id_col),
-        "_sha": F.sha2(without_blanks(text_col), 256),
-        "_points": F.char_length(text_or_empty(text_col)).cast("long"),
+        "__id": F.col(id_col),
+        "__sha": F.sha2(without_blanks(text_col), 256),
+        "__points": F.char_length(text_or_empty(text_col)).cast("long"),
     }
-    return attach(docs, found, keys, ["_kept"]).filter("_kept").select(docs.columns)
+    return attach(docs, found, keys, ["__kept"]).filter("__kept").select(docs.columns)

@@ -101,10 +101,10 @@ def mixed(
 ) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as the mix takes it."""
     counts = mix_counts(docs, seed, weights, id_col, text_col, source_col).select(
-        F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.col("copies").alias("_copies"),
+        F.col(id_col).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
+        F.col("copies").alias("__copies"),
     )
-    keys = {"_id": F.col(id_col), "_source": F.col(source_col), "_size": word_count(text_col)}
-    taken = attach(docs, counts, keys, ["_copies"])
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))
-    return taken.filter("_copies > 0").withColumn("_copy", copies).select(docs.columns)
+    keys = {"__id": F.col(id_col), "__source": F.col(source_col), "__size": word_count(text_col)}
+    taken = attach(docs, counts, keys, ["__copies"])
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))
+    return taken.filter("__copies > 0").withColumn("__copy", copies).select(docs.columns)

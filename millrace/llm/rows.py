@@ -80,11 +80,11 @@ def attach(docs: DataFrame, decisions: DataFrame, keys: dict[str, Column], order
     repeated = written(repeated, "repeated")
     sides = []
     for frame, by in ((keyed, docs.columns), (decisions, order)):
-        once = frame.join(repeated, same(frame, repeated, names), "left_anti").withColumn("_nth", F.lit(1))
+        once = frame.join(repeated, same(frame, repeated, names), "left_anti").withColumn("__nth", F.lit(1))
         often = frame.join(repeated, same(frame, repeated, names), "left_semi")
-        often = often.withColumn("_nth", F.row_number().over(Window.partitionBy(*names).orderBy(*by)))
+        often = often.withColumn("__nth", F.row_number().over(Window.partitionBy(*names).orderBy(*by)))
         sides.append(once.unionByName(often))
-    return _paired(*sides, [*names, "_nth"], docs.columns, values)
+    return _paired(*sides, [*names, "__nth"], docs.columns, values)
 
 
 def _paired(left: DataFrame, right: DataFrame, names: Sequence[str], own: list[str], values: list[str]) -> DataFrame:

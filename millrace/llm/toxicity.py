@@ -157,6 +157,6 @@ def judged(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, thres
     )
 
 
-def clean(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, threshold: float = THRESHOLD) -> DataFrame:
+def clean(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text is not found toxic, with their own columns."""
-    return scored(docs, fitted(docs, labels, per_label), score_col="_toxicity").filter(F.col("_toxicity") < threshold).drop("_toxicity")
+    return scored(docs, model, score_col="__toxicity").filter(F.col("__toxicity") < threshold).select(docs.columns)
