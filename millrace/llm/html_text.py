@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.llm.min_cut import Cut
 
@@ -310,5 +311,5 @@ def extracted(
                     [*part.columns[:at], pa.array(texts, pa.string())], names=[*kept, text_col]
                 )
 
-    schema = pages.select(*kept).schema.add(text_col, "string")
-    return rows.mapInArrow(extract, schema)
+    fields = [pages.schema[c] for c in kept]
+    return rows.mapInArrow(extract, StructType([*fields, StructField(text_col, StringType())]))

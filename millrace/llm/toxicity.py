@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from millrace.llm import gru
 from millrace.llm.labelled import held_out, labelled_texts
@@ -144,8 +145,7 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_
                 out = pa.array(model.scores(scorer, texts), pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, score_col])
 
-    schema = docs.schema.add(score_col, "double")
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def judged(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, threshold: float = THRESHOLD) -> DataFrame:
