@@ -58,8 +58,3 @@ def surrogate_key(*parts: Column | str) -> Column:
     for part in parts[1:]:
         joined = F.concat(joined, F.lit("_"), col(part).cast("string"))
     return F.conv(F.substr(F.md5(joined), F.lit(1), F.lit(15)), 16, 10).cast("long")
-
-
-def fast_surrogate_key(*parts: Column | str) -> Column:
-    """64-bit xxHash form: cheaper, Spark-only, may be negative."""
-    return F.xxhash64(*[col(p) for p in parts])

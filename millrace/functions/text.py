@@ -66,10 +66,10 @@ def name_error(name: Column | str) -> Column:
     """Why a file name is refused; NULL when it is accepted."""
     n = col(name)
     return (
-        F.when(file_type(n).isNull(), F.concat(F.lit("Unrecognized file naming convention: "), n))
+        F.when(file_type(n).isNull(), F.concat(F.lit("no feed uses this file name: "), n))
         .when(
             (file_type(n) == SNAPSHOT) & snapshot_period(n).isNull(),
-            F.concat(F.lit("Unrecognized month abbreviation in filename: "), n),
+            F.concat(F.lit("the file name holds no month: "), n),
         )
     )
 
@@ -96,8 +96,11 @@ def landing_name(name: Column | str, stamp: Column | str) -> Column:
 
 
 def table_name(path: Column | str) -> Column:
-    """SQL-safe upper-case table name for a file path."""
-    base = F.regexp_replace(file_name(path), r"(?i)\.csv(\.gz)?$", "")
-    base = F.regexp_replace(base, r"[^0-9a-zA-Z_]", "_")
-    base = F.regexp_replace(F.regexp_replace(base, r"_+", "_"), r"^_|_$", "")
-    return F.upper(F.when(base.rlike(r"^[0-9]"), F.concat(F.lit("T_"), base)).otherwise(base))
+    """SQL-safe upper-case table name for a file path.
+
+    The runs of ASCII letters and digits of the file's stem, joined by single
+    underscores; a name must not begin with a digit.
+    """
+    stem = F.regexp_extract(file_name(path), r"(?is)^(.*?)(\.csv(\.gz)?)?$", 1)
+    name = F.upper(F.array_join(F.regexp_extract_all(stem, F.lit("[0-9A-Za-z]+"), 0), "_"))
+    return F.concat(F.when(F.ascii(name).between(48, 57), F.lit("T_")).otherwise(F.lit("")), name)

@@ -4,26 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import day_key_of, first_day_key, month_key
 
-# Fixed value: days a spine can span.
-MAX_DAYS = 100_000
-
-
 def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row per day from ``start`` to ``end`` inclusive (ISO dates)."""
     first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    days = (last - first).days + 1
-    if days > MAX_DAYS:
-        raise ValueError(f"{days} days exceed the spine's {MAX_DAYS}")
-    return spark.range(max(days, 0)).select(
+    return spark.range(max((last - first).days + 1, 0)).select(
         F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date")
     )
 
 
+def days_of(rows: DataFrame, date: Column) -> DataFrame:
+    """One row per day from the first to the last ``date`` of ``rows``."""
+    bounds = rows.agg(F.min(date).alias("first"), F.max(date).alias("last"))
+    return bounds.select(F.explode(F.sequence("first", "last")).alias("full_date"))
+
+
 def calendar_columns(days: DataFrame, date: str = "full_date") -> DataFrame:
     """Calendar attributes for a column of distinct dates; Sunday is day 0."""
     d = F.col(date)
@@ -54,10 +53,15 @@ def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
 def join_calendar(facts: DataFrame, calendar: DataFrame, date_key: str = "date_key") -> DataFrame:
     """Day-grain facts with calendar columns, one row per fact.
 
-    The calendar is broadcast: the spine cannot exceed ``MAX_DAYS`` rows.
+    A fact whose day the calendar lacks stays, with NULL calendar columns.
     """
     extra = [c for c in calendar.columns if c not in facts.columns or c == date_key]
-    return facts.join(F.broadcast(calendar.select(extra)), date_key)
+    return facts.join(calendar.select(extra), date_key, "left")
+
+
+def calendar_of(facts: DataFrame, date_key: str = "date_key") -> DataFrame:
+    """The calendar from the first to the last day of ``facts``."""
+    return calendar_columns(days_of(facts, F.to_date(F.col(date_key).cast("string"), "yyyyMMdd")))
 
 
 def join_month_calendar(facts: DataFrame, calendar: DataFrame, month: str = "month_key") -> DataFrame:
@@ -65,4 +69,9 @@ def join_month_calendar(facts: DataFrame, calendar: DataFrame, month: str = "mon
 
     Joining on the month key would repeat each fact once per day.
     """
-    return join_calendar(facts.withColumn("date_key", first_day_key(month)), calendar)
+    return join_calendar(at_month_start(facts, month), calendar)
+
+
+def at_month_start(facts: DataFrame, month: str = "month_key") -> DataFrame:
+    """Month-grain facts with the key of their month's first day."""
+    return facts.withColumn("date_key", first_day_key(month))

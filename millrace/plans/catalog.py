@@ -12,10 +12,10 @@ from millrace.functions import outcomes, text
 from millrace.operators import (
     calendar, distribution, facts, history, ledger, metrics, profiling, quality, upsert,
 )
-from millrace.operators.sizing import broadcast_if_small
+from millrace.plans import silver
 from millrace.plans import standins as S
 from millrace.session import scratch_path, written
-from millrace.sources import drops
+from millrace.sources import drops, files, sinks
 from millrace.sources.layouts import Field, Layout
 from millrace.streaming import drops as streams
 
@@ -28,7 +28,6 @@ ATTRIBUTES = [
     "provider_name", "provider_address", "state", "ownership_type", "provider_type", "certified_beds",
 ]
 START, END = 199601, 199612
-CALENDAR = ("1992-01-01", "1998-12-31")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,14 +56,50 @@ def classify_names(spark, sf_dir):
 
 @query
 def period_key(spark, sf_dir):
-    files = S.manifest(spark, sf_dir)
-    return files.select("file_id", text.snapshot_period("file_name").alias("snapshot_date_key"))
+    listed = S.manifest(spark, sf_dir)
+    return listed.select("file_id", text.snapshot_period("file_name").alias("snapshot_date_key"))
+
+
+def _text_drop(spark, sf_dir):
+    """Folder of text files, each with the texts of up to 50 documents."""
+    drop = scratch_path(spark, "texts")
+    docs = S.table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 50).alias("part"), "doc_id", "text")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda d: d["text"])
+    docs.groupBy("part").agg(F.array_join(texts, "\n").alias("body")).write.partitionBy("part").text(drop)
+    return drop
+
+
+@query
+def manifest_scan(spark, sf_dir):
+    """The text files as a listing shows them."""
+    listed = files.list_files(spark, _text_drop(spark, sf_dir), "*.txt")
+    part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("long")
+    return listed.groupBy(part.alias("part")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
 @query
 def content_md5(spark, sf_dir):
-    docs = S.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.md5("text").alias("md5hash"))
+    """Digest of every text file's bytes."""
+    hashed = files.fingerprint_files(spark, _text_drop(spark, sf_dir), "*.txt")
+    return hashed.select(F.regexp_extract("path", "part=([0-9]+)", 1).cast("long").alias("part"), "md5hash")
+
+
+@query
+def encodings(spark, sf_dir):
+    """Sources written as UTF-8 or not, told apart by their bytes."""
+    drop = scratch_path(spark, "encoded")
+    docs = S.table(spark, sf_dir, "documents").select(
+        "source", "doc_id", F.concat_ws(" ", F.translate("text", "\r\n", "  "), F.lit("é")).alias("line")
+    )
+    for n, charset in enumerate(("UTF-8", "ISO-8859-1")):
+        half = docs.where(F.length("source") % 2 == n).hint("rebalance", "source")
+        half.select("source", "line").write.mode("append").partitionBy("source").option("header", True).option(
+            "encoding", charset
+        ).csv(drop)
+    checked = files.file_encodings(spark, drop)
+    return checked.groupBy(F.regexp_extract("file_id", "source=([^/]+)", 1).alias("source")).agg(
+        F.bool_and("is_utf8").alias("is_utf8")
+    )
 
 
 @query
@@ -75,8 +110,8 @@ def change_detect(spark, sf_dir):
 
 @query
 def landing_key(spark, sf_dir):
-    files = S.manifest(spark, sf_dir)
-    return files.select("file_id", text.landing_name("file_name", "modified_at").alias("s3_key"))
+    listed = S.manifest(spark, sf_dir)
+    return listed.select("file_id", text.landing_name("file_name", "modified_at").alias("s3_key"))
 
 
 @query
@@ -103,7 +138,7 @@ FEED = Layout(
     (
         Field("provnum", "varchar(20)"), Field("workdate", "int"), Field("mdscensus", "smallint"),
         Field("hrs_rn", "decimal(5,2)"), Field("hrs_lpn", "decimal(7,2)"), Field("hrs_cna", "decimal(6,2)"),
-        Field("l_orderkey", "bigint"), Field("l_linenumber", "int"),
+        Field("l_orderkey", "bigint"), Field("l_linenumber", "int"), Field("seen", "date"), Field("note", "varchar(40)"),
     ),
     ("provnum", "workdate"),
 )
@@ -111,11 +146,25 @@ FEED = Layout(
 
 @query
 def typed_load(spark, sf_dir):
-    """Table -> CSV drop -> positional typed load; headers are ignored."""
+    """Table -> CSV drop -> positional typed load; headers are ignored.
+
+    The text has surplus decimals and quoted line breaks; the files of one
+    folder in twenty hold dates that are none.
+    """
     drop = scratch_path(spark, "drop")
-    rows = S.staffing_raw(spark, sf_dir).select(FEED.names)
-    rows.toDF(*[f"column {i}" for i in range(len(FEED.names))]).write.option("header", True).csv(drop)
-    raw = drops.read_positional(spark, drop, FEED)
+    order = F.col("l_orderkey")
+    rows = S.staffing_raw(spark, sf_dir).select(
+        *[
+            F.concat(F.col(c).cast("string"), F.when(order % 10 == 4, "9").otherwise("")).alias(c) if c == "hrs_lpn" else c
+            for c in FEED.names[:8]
+        ],
+        F.when(order % 20 == 3, "2024-5").otherwise("2024-05-01").alias("seen"),
+        F.when(order % 10 < 5, F.concat(F.lit("first line\nof order "), order.cast("string"))).otherwise("plain").alias("note"),
+        (order % 20).alias("part"),
+    )
+    named = rows.toDF(*[f"column {i}" for i in range(len(FEED.names))], "part")
+    named.hint("rebalance", "part").write.partitionBy("part").options(header=True, escape='"').csv(drop)
+    raw = drops.read_feed(spark, drop, FEED)
     checked = written(quality.check_types(raw, FEED.fields, FEED.key, drops.MALFORMED), "parsed")
     whole = quality.without_files(checked, quality.bad_files(checked, drops.SOURCE_FILE), drops.SOURCE_FILE)
     return quality.apply_types(whole.select(FEED.names), FEED.fields)
@@ -135,9 +184,15 @@ def blank_as_null(spark, sf_dir):
 
 @query
 def undecodable_text(spark, sf_dir):
+    """Texts written in another encoding, as the feed reader takes them."""
+    drop = scratch_path(spark, "latin")
     docs = S.table(spark, sf_dir, "documents")
-    broken = F.replace(F.col("text"), F.lit("e"), F.lit(text.UNDECODABLE))
-    return docs.select("doc_id", F.md5(text.replace_undecodable(broken)).alias("md5hash"))
+    docs.select("doc_id", F.translate("text", "\r\n\"", "   ").alias("text")).write.options(
+        header=True, encoding="ISO-8859-1", escape='"'
+    ).csv(drop)
+    layout = Layout((Field("doc_id", "bigint"), Field("text", "varchar(65535)")), ("doc_id",))
+    read = drops.read_positional(spark, drop, layout)
+    return read.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("md5hash"))
 
 
 @query
@@ -166,16 +221,13 @@ def lineage(spark, sf_dir):
     """Rows stamped from their file's manifest entry."""
     raw = S.staffing_raw(spark, sf_dir).withColumn("month", K.month_key("workdate"))
     entry = F.concat(F.lit("staffing_"), F.col("month").cast("string"), F.lit(".csv"))
-    files = raw.select("month").distinct().select(
+    manifest = raw.select("month").distinct().select(
         "month", entry.alias("_source_s3_key"),
         F.concat(F.col("month").cast("string"), F.lit("-01")).alias("_drive_modified_at"),
         F.md5(entry).alias("_md5hash"),
     )
-    stamped = raw.join(broadcast_if_small(files), "month", "left")
-    return stamped.select(
-        "provnum", "workdate", "l_orderkey", "l_linenumber",
-        "_source_s3_key", "_drive_modified_at", "_md5hash",
-    )
+    rows = silver.with_lineage(raw, manifest, "month", ["provnum", "workdate", "l_orderkey", "l_linenumber"])
+    return rows.drop("_loaded_at")
 
 
 # --- data quality ----------------------------------------------------------
@@ -211,14 +263,14 @@ def dedup_latest(spark, sf_dir):
 
 @query
 def error_class(spark, sf_dir):
-    docs = S.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", outcomes.error_class("text").alias("error_class"))
+    errors = S.error_texts(spark, sf_dir)
+    return errors.select("doc_id", outcomes.error_class("message").alias("error_class"))
 
 
 @query
 def error_message(spark, sf_dir):
-    docs = S.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.md5(outcomes.tagged_error("text", "source")).alias("message_md5"))
+    errors = S.error_texts(spark, sf_dir)
+    return errors.select("doc_id", F.md5(outcomes.tagged_error("message", "source")).alias("message_md5"))
 
 
 @query
@@ -229,13 +281,13 @@ def route_outcome(spark, sf_dir):
 
 @query
 def quarantine_counts(spark, sf_dir):
-    files = ledger.classify(S.manifest(spark, sf_dir)).where("name_error IS NOT NULL")
+    unnamed = ledger.classify(S.manifest(spark, sf_dir)).where("name_error IS NOT NULL")
     checked = quality.check_types(S.raw_texts(spark, sf_dir), RAW_FIELDS, ["provnum"])
     broken = quality.bad_files(checked, "file")
     repeated = quality.duplicate_keys(S.staffing_raw(spark, sf_dir), KEY)
     failed = S.jobs(spark, sf_dir).where(outcomes.route("status", "error", "attempt") == "REJECT")
     return quality.reject_counts([
-        quality.reject(files, outcomes.UNKNOWN_FILE_TYPE, "file_name"),
+        quality.reject(unnamed, outcomes.UNKNOWN_FILE_TYPE, "file_name"),
         quality.reject(broken, outcomes.COPY_FAILED, "file"),
         quality.reject(repeated, outcomes.DUPLICATE_KEY, F.col("provnum")),
         quality.reject(failed, outcomes.MERGE_FAILED, F.col("event_id").cast("string")),
@@ -277,10 +329,7 @@ def snapshot_replace(spark, sf_dir):
 @query
 def date_spine(spark, sf_dir):
     """Every day between the first and last order."""
-    bounds = S.table(spark, sf_dir, "orders").agg(
-        F.min(F.to_date("o_orderdate")).alias("first"), F.max(F.to_date("o_orderdate")).alias("last")
-    )
-    return bounds.select(F.explode(F.sequence("first", "last")).alias("full_date"))
+    return calendar.days_of(S.table(spark, sf_dir, "orders"), F.to_date("o_orderdate"))
 
 
 @query
@@ -363,15 +412,20 @@ def staffing_vs_quality(spark, sf_dir):
 
 @query
 def calendar_join(spark, sf_dir):
-    joined = calendar.join_calendar(_measures(spark, sf_dir), calendar.dim_date(spark, *CALENDAR))
-    return joined.groupBy("year", "day_name", "is_weekend").agg(
+    """Days fold to one row each before they meet the calendar."""
+    daily = _measures(spark, sf_dir).groupBy("date_key").agg(
         F.count("*").alias("days"), F.sum("mdscensus").alias("sum_census")
     )
+    joined = calendar.join_calendar(daily, calendar.calendar_of(daily))
+    return joined.groupBy("year", "day_name", "is_weekend").agg(
+        F.sum("days").alias("days"), F.sum("sum_census").alias("sum_census")
+    )
 
 
 @query
 def month_calendar_join(spark, sf_dir):
-    joined = calendar.join_month_calendar(_quality(spark, sf_dir), calendar.dim_date(spark, *CALENDAR))
+    months = calendar.at_month_start(_quality(spark, sf_dir))
+    joined = calendar.join_calendar(months, calendar.calendar_of(months))
     return joined.select("provnum", "month_key", "overall_rating", "full_date", "quarter_name", "year")
 
 
@@ -388,7 +442,7 @@ def _range(spark, sf_dir):
 
 
 def _facilities(spark, sf_dir):
-    return metrics.facility_metrics(_range(spark, sf_dir), _attributes(spark, sf_dir))
+    return metrics.facility_metrics(_measures(spark, sf_dir), _attributes(spark, sf_dir))
 
 
 def _filtered(spark, sf_dir, **choice):
@@ -396,11 +450,8 @@ def _filtered(spark, sf_dir, **choice):
 
 
 def _report(spark, sf_dir):
-    """The filtered report frame, kept for operators that read it repeatedly.
-
-    One row per facility; lost blocks are recomputed from lineage.
-    """
-    return _filtered(spark, sf_dir).persist()
+    """The filtered report frame, stored for operators that read it repeatedly."""
+    return written(_filtered(spark, sf_dir), "report")
 
 
 @query
@@ -430,7 +481,7 @@ def facility_agg(spark, sf_dir):
 
 @query
 def facility_metrics(spark, sf_dir):
-    return _facilities(spark, sf_dir)
+    return metrics.facility_metrics(_range(spark, sf_dir), _attributes(spark, sf_dir))
 
 
 @query
@@ -446,7 +497,7 @@ def filter_options(spark, sf_dir):
 @query
 def facility_filter(spark, sf_dir):
     return _filtered(
-        spark, sf_dir, states=["FRANCE", "GERMANY", "CHINA", "KENYA", "PERU"], ownerships=["N", "R"], min_days=40
+        spark, sf_dir, states=[f"NATION_{n}" for n in range(0, 25, 2)], ownerships=["N", "R"], min_days=40
     )
 
 
@@ -513,7 +564,7 @@ def high_reliance(spark, sf_dir):
 
 @query
 def system_trend(spark, sf_dir):
-    return metrics.system_trend(monthly_trend(spark, sf_dir))
+    return metrics.system_trend(metrics.monthly_trend(_measures(spark, sf_dir), _attributes(spark, sf_dir)))
 
 
 @query
@@ -562,8 +613,9 @@ def column_profile(spark, sf_dir):
 
 @query
 def full_dups(spark, sf_dir):
+    """Line items of which the first of each order was sent twice."""
     line = S.table(spark, sf_dir, "lineitem")
-    return profiling.full_duplicates(line.select("l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"))
+    return profiling.full_duplicates(line.unionByName(line.where("l_linenumber = 1")))
 
 
 @query
@@ -588,13 +640,12 @@ def grain_test(spark, sf_dir):
 
 @query
 def incremental_upsert(spark, sf_dir):
-    """Stored and incoming rows arriving as files, merged batch by batch."""
+    """Incoming rows arriving as files, merged batch by batch into stored ones."""
     arrivals, table = scratch_path(spark, "arrivals"), scratch_path(spark, "silver")
     target = S.stored(spark, sf_dir).withColumn("hrs_rn", F.col("hrs_rn").cast("decimal(6,2)"))
-    rows = target.dropna(subset=["stamp"]).unionByName(S.incoming(spark, sf_dir)).withColumn(
-        "month_key", K.month_key("workdate")
-    )
-    rows.write.parquet(arrivals)
+    month = K.month_key("workdate").alias("month_key")
+    sinks.write_partitions(target.select("*", month), table, "month_key")
+    S.incoming(spark, sf_dir).select("*", month).write.parquet(arrivals)
     landed = spark.read.parquet(arrivals)
     per_batch = -(-len(landed.inputFiles()) // 3)
     stream = (
@@ -604,3 +655,70 @@ def incremental_upsert(spark, sf_dir):
         stream, table, KEY, "month_key", "stamp", "md5hash", scratch_path(spark, "offsets")
     )
     return spark.read.schema(landed.schema).parquet(table)
+
+
+# --- stored tables ---------------------------------------------------------
+
+
+@query
+def full_refresh(spark, sf_dir):
+    """A table refreshed from itself, by partition; the second write replaces the first."""
+    path = scratch_path(spark, "refreshed")
+    sinks.replace_table(S.snapshots(spark, sf_dir), path, "snapshot_date_key", "provnum")
+    stored = spark.read.parquet(path)
+    more = (F.coalesce("certified_beds", F.lit(0)) + 1).cast("smallint")
+    sinks.replace_table(stored.withColumn("certified_beds", more), path, "snapshot_date_key", "provnum")
+    schema = ", ".join(f"{c} {t}" for c, t in stored.dtypes)
+    return sinks.read_table(spark, path, schema)
+
+
+@query
+def interrupted_refresh(spark, sf_dir):
+    """A refresh that stopped between its renames loses nothing."""
+    path = scratch_path(spark, "stopped")
+    sinks.replace_table(S.manifest(spark, sf_dir), f"{path}.previous")
+    return sinks.read_table(spark, path, "file_id string, file_name string, modified_at string, md5hash string")
+
+
+@query
+def inferred_load(spark, sf_dir):
+    """Tables written as one CSV folder each, loaded with inferred types and profiled."""
+    out = None
+    for name in ("supplier", "orders", "part"):
+        drop = scratch_path(spark, name)
+        S.table(spark, sf_dir, name).write.options(header=True, escape='"').csv(drop)
+        loaded = drops.read_inferred(spark, drop)
+        rows = profiling.column_profile(loaded).select(F.lit(name).alias("table_name"), "column_name", "total_rows", "non_null", "distinct_values")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def replayed_merge(spark, sf_dir):
+    """The same incoming rows merged twice change nothing the second time."""
+    table = scratch_path(spark, "silver")
+    month = K.month_key("workdate").alias("month_key")
+    target = S.stored(spark, sf_dir).withColumn("hrs_rn", F.col("hrs_rn").cast("decimal(6,2)"))
+    sinks.write_partitions(target.select("*", month), table, "month_key")
+    schema = spark.read.parquet(table).schema
+    for _ in range(2):
+        silver.merge_rows(S.incoming(spark, sf_dir).select("*", month), table, KEY, "month_key", "stamp", "md5hash")
+    return spark.read.schema(schema).parquet(table)
+
+
+@query
+def report_reuse(spark, sf_dir):
+    """One stored report frame read for its thresholds, its headline and its states."""
+    report = _report(spark, sf_dir)
+    parts = [
+        distribution.thresholds(report).select("hprd_p10", "mix_p90"),
+        metrics.headline(report).select("facilities"),
+        metrics.by_state(report).agg(F.count("*").alias("state_rows")),
+    ]
+    rows = [
+        part.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in part.columns
+        ])).alias("row")).select("row.*")
+        for part in parts
+    ]
+    return rounded(rows[0].unionByName(rows[1]).unionByName(rows[2]), "value")

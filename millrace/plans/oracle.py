@@ -4,6 +4,25 @@ from __future__ import annotations
 
 import re
 
+_TOTALS = """
+    SELECT provnum, count(month_key) AS reporting_days, CAST(sum(mdscensus) AS DOUBLE) / count(mdscensus) AS avg_census,
+           CAST(sum(mdscensus) AS BIGINT) AS sum_census, sum(total_direct_care_hours) AS sum_hours,
+           sum(contract_direct_care_hours) AS sum_ctr_hours
+    FROM {days} GROUP BY ALL"""
+_RATIOS = """
+    SELECT provnum, provider_name, state, ownership_type, provider_type, certified_beds, reporting_days, avg_census,
+           sum_ctr_hours AS contract_hours_total,
+           sum_hours::DOUBLE / nullif(greatest(sum_census, 0), 0) AS hprd,
+           sum_ctr_hours::DOUBLE / nullif(greatest(sum_hours, 0), 0)::DOUBLE AS contract_mix,
+           sum_ctr_hours::DOUBLE / nullif(greatest(certified_beds, 0), 0) AS contract_reliance
+    FROM {totals} LEFT JOIN v_newest USING (provnum)"""
+_BY_MONTH = """
+    SELECT month_key, state, ownership_type, CAST(sum(census) AS BIGINT) AS sum_census, sum(hours) AS sum_hours,
+           sum(ctr_hours) AS sum_ctr_hours
+    FROM (SELECT provnum, month_key, sum(mdscensus) AS census, sum(total_direct_care_hours) AS hours,
+                 sum(contract_direct_care_hours) AS ctr_hours FROM {days} GROUP BY ALL)
+    LEFT JOIN v_newest USING (provnum) GROUP BY ALL"""
+
 _VIEWS = {
     "v_raw": """
         SELECT CAST(l_suppkey AS VARCHAR) AS provnum,
@@ -28,9 +47,10 @@ _VIEWS = {
                CASE WHEN max(l_returnflag) = 'R' THEN 'addr' END AS provider_address,
                max(n_name) AS state, max(l_returnflag) AS ownership_type, min(l_linestatus) AS provider_type,
                CAST(CASE WHEN count(*) > 9 THEN 120 WHEN count(*) > 8 THEN NULL ELSE 60 END AS SMALLINT) AS certified_beds
-        FROM (SELECT *, year(l_shipdate) * 100 + month(l_shipdate) AS mk FROM lineitem) l
+        FROM (SELECT * REPLACE (CASE WHEN (l_suppkey * 31 + mk) % 13 = 0
+                     THEN CASE WHEN mk % 100 = 12 THEN mk + 89 ELSE mk + 1 END ELSE mk END AS mk)
+              FROM (SELECT *, year(l_shipdate) * 100 + month(l_shipdate) AS mk FROM lineitem)) l
         JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
-        WHERE (l_suppkey * 31 + mk) % 13 <> 0
         GROUP BY l_suppkey, mk""",
     "v_quality": """
         SELECT *, CAST((CAST(provnum AS BIGINT) * 7 + snapshot_date_key // 100) % 5 + 1 AS SMALLINT) AS overall_rating,
@@ -47,7 +67,7 @@ _VIEWS = {
     "v_incoming": """
         SELECT provnum, workdate, CAST(hrs_rn + 1 AS DECIMAL(6,2)) AS hrs_rn, '2024-01-03' AS stamp,
                md5('incoming') AS md5hash
-        FROM v_staffing WHERE l_partkey % 2 = 0""",
+        FROM v_staffing WHERE l_partkey % 2 = 0 OR l_orderkey % 3 = 0""",
     "v_candidates": """
         SELECT s.* FROM v_incoming s
         LEFT JOIN v_target t ON t.provnum = s.provnum AND t.workdate = s.workdate
@@ -93,12 +113,17 @@ _VIEWS = {
             FROM v_files m LEFT JOIN v_ledger l ON l.file_id = m.file_id) c ON c.file_id = f.file_id""",
     "v_texts": """
         SELECT CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END AS provnum,
-               CAST(l_orderkey AS VARCHAR) AS county_fips,
-               l_returnflag || l_linestatus || CASE WHEN l_linenumber > 5 THEN '!' ELSE '' END AS state,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS hrs_rn,
-               CASE WHEN l_partkey % 7 = 0 THEN 'n/a' ELSE CAST(l_partkey AS VARCHAR) END AS workdate,
-               'file_' || strftime(l_shipdate, '%Y%m%d') AS file
+               CASE WHEN l_orderkey % 500 = 7 THEN '70000' ELSE CAST(l_orderkey % 30000 AS VARCHAR) END AS county_fips,
+               l_returnflag || l_linestatus || CASE WHEN l_orderkey % 20 = 1 AND l_linenumber > 2 THEN '!' ELSE '' END AS state,
+               CASE WHEN l_orderkey % 500 = 11 THEN '123456.78'
+                    ELSE CAST(CAST(l_extendedprice % 90000 AS DECIMAL(7,2)) AS VARCHAR) END AS hrs_rn,
+               CASE WHEN l_orderkey % 25 = 3 AND l_linenumber > 2 THEN 'n/a' ELSE CAST(l_partkey AS VARCHAR) END AS workdate,
+               'file_' || CAST(l_orderkey % 500 AS VARCHAR) AS file
         FROM lineitem""",
+    "v_errors": """
+        SELECT doc_id, source, CASE lang WHEN 'en' THEN 'Invalid digit: ' WHEN 'de' THEN 'VALUE OUT OF RANGE '
+                                         WHEN 'fr' THEN 'violates not-null: ' ELSE 'connection reset, ' END || text AS text
+        FROM documents""",
     "v_broken": """
         SELECT *, provnum IS NULL AS no_key, TRY_CAST(county_fips AS SMALLINT) IS NULL AS bad_fips,
                strlen(state) > 2 AS long_state, TRY_CAST(hrs_rn AS DECIMAL(7,2)) IS NULL AS bad_hours,
@@ -158,30 +183,18 @@ _VIEWS = {
                CAST(coalesce(cycle1, 0) + coalesce(cycle2, 0) + coalesce(cycle3, 0) AS SMALLINT) AS total_deficiencies_3yr,
                certified_beds, ownership_type
         FROM v_quality""",
-    "v_prov": """
-        SELECT * EXCLUDE (rn, snapshot_date_key, provider_address) FROM (
-            SELECT *, row_number() OVER (PARTITION BY provnum ORDER BY snapshot_date_key DESC) AS rn FROM v_snapshot)
-        WHERE rn = 1""",
+    "v_newest": """
+        SELECT provnum, unnest(max({'at': snapshot_date_key, 'is': {'provider_name': provider_name, 'state': state,
+               'ownership_type': ownership_type, 'provider_type': provider_type, 'certified_beds': certified_beds}})['is'])
+        FROM v_snapshot GROUP BY provnum""",
     "v_range": "SELECT * FROM v_fact WHERE month_key BETWEEN 199601 AND 199612",
-    "v_agg": """
-        SELECT provnum, count(*) AS reporting_days, avg(CAST(mdscensus AS DOUBLE)) AS avg_census,
-               CAST(sum(mdscensus) AS BIGINT) AS sum_census, sum(total_direct_care_hours) AS sum_hours,
-               sum(contract_direct_care_hours) AS sum_ctr_hours
-        FROM v_range GROUP BY provnum""",
-    "v_facilities": """
-        SELECT a.provnum, provider_name, state, ownership_type, provider_type, certified_beds,
-               reporting_days, avg_census, sum_ctr_hours AS contract_hours_total,
-               CASE WHEN sum_census > 0 THEN CAST(sum_hours AS DOUBLE) / CAST(sum_census AS DOUBLE) END AS hprd,
-               CASE WHEN sum_hours > 0 THEN CAST(sum_ctr_hours AS DOUBLE) / CAST(sum_hours AS DOUBLE) END AS contract_mix,
-               CASE WHEN certified_beds > 0
-                    THEN CAST(sum_ctr_hours AS DOUBLE) / CAST(certified_beds AS DOUBLE) END AS contract_reliance
-        FROM v_agg a LEFT JOIN v_prov p ON p.provnum = a.provnum""",
+    "v_totals": _TOTALS.format(days="v_fact"),
+    "v_range_totals": _TOTALS.format(days="v_range"),
+    "v_facilities": _RATIOS.format(totals="v_totals"),
+    "v_range_facilities": _RATIOS.format(totals="v_range_totals"),
     "v_shown": "SELECT * FROM v_facilities WHERE reporting_days >= 30 AND hprd IS NOT NULL",
-    "v_trend": """
-        SELECT month_key, state, ownership_type, CAST(sum(mdscensus) AS BIGINT) AS sum_census,
-               sum(total_direct_care_hours) AS sum_hours, sum(contract_direct_care_hours) AS sum_ctr_hours
-        FROM v_range f LEFT JOIN v_prov p ON p.provnum = f.provnum
-        GROUP BY month_key, state, ownership_type""",
+    "v_trend": _BY_MONTH.format(days="v_fact"),
+    "v_range_trend": _BY_MONTH.format(days="v_range"),
     "v_clipped": """
         SELECT *, least(contract_reliance, (SELECT quantile_cont(contract_reliance, 0.99) FROM v_shown)) AS reliance_disp
         FROM v_shown WHERE contract_reliance IS NOT NULL""",
@@ -255,7 +268,14 @@ _ORDER_DAYS = _CALENDAR.format(
     first="(SELECT min(CAST(o_orderdate AS DATE)) FROM orders)",
     last="(SELECT max(CAST(o_orderdate AS DATE)) FROM orders)",
 )
-_VIEWS["v_calendar"] = _CALENDAR.format(first="DATE '1992-01-01'", last="DATE '1998-12-31'")
+_DAY = "strptime(CAST({edge}({key}) AS VARCHAR), '%Y%m%d')"
+for _view, _facts, _key in (
+    ("v_calendar", "v_fact", "date_key"), ("v_month_calendar", "v_fact_quality", "month_key * 100 + 1"),
+):
+    _VIEWS[_view] = _CALENDAR.format(
+        first=f"(SELECT {_DAY.format(edge='min', key=_key)} FROM {_facts})",
+        last=f"(SELECT {_DAY.format(edge='max', key=_key)} FROM {_facts})",
+    )
 
 _FRAGMENTS = ("invalid", "out of range", "type mismatch", "conversion", "constraint", "violat", "numeric")
 _IS_DATA_ERROR = " OR ".join(f"text ILIKE '%{f}%'" for f in _FRAGMENTS)
@@ -263,7 +283,12 @@ _IS_DATA_ERROR = " OR ".join(f"text ILIKE '%{f}%'" for f in _FRAGMENTS)
 _BODIES = {
     "classify_names": "SELECT file_id, file_name, file_type, rejected FROM v_named",
     "period_key": "SELECT file_id, snapshot_date_key FROM v_named",
-    "content_md5": "SELECT doc_id, md5(text) AS md5hash FROM documents",
+    "manifest_scan": """
+        SELECT doc_id // 50 AS part, 1 AS files, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY ALL""",
+    "content_md5": """
+        SELECT doc_id // 50 AS part, md5(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS md5hash
+        FROM documents GROUP BY ALL""",
+    "encodings": "SELECT DISTINCT source, length(source) % 2 = 0 AS is_utf8 FROM documents",
     "change_detect": "SELECT file_id, change FROM v_planned",
     "landing_key": "SELECT file_id, s3_key FROM v_named",
     "ledger_upsert": """
@@ -276,11 +301,35 @@ _BODIES = {
                CASE WHEN length(file_name) % 2 = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS merge_status
         FROM v_ledger""",
     "run_summary": "SELECT outcome, count(*) AS files FROM v_planned GROUP BY outcome",
-    "typed_load": "SELECT provnum, workdate, mdscensus, hrs_rn, hrs_lpn, hrs_cna, l_orderkey, l_linenumber FROM v_raw",
+    "typed_load": """
+        SELECT provnum, workdate, mdscensus, hrs_rn, hrs_lpn, hrs_cna, l_orderkey, l_linenumber, DATE '2024-05-01' AS seen,
+               CASE WHEN l_orderkey % 10 < 5 THEN 'first line' || chr(10) || 'of order ' || CAST(l_orderkey AS VARCHAR)
+                    ELSE 'plain' END AS note
+        FROM v_raw WHERE l_orderkey % 20 <> 3""",
     "blank_as_null": """
         SELECT doc_id, CASE WHEN n_chars % 3 < 2 THEN NULL ELSE nullif(lang, '') END AS lang, ' ' || source AS source
         FROM documents""",
-    "undecodable_text": "SELECT doc_id, md5(replace(replace(text, 'e', '?'), '�', '?')) AS md5hash FROM documents",
+    "undecodable_text": """
+        SELECT doc_id, md5(regexp_replace(nullif(trim(translate(text, chr(13) || chr(10) || '"', '   ')), ''), '[^\x01-\x7f]', '?', 'g'))
+               AS md5hash FROM documents""",
+    "full_refresh": """
+        SELECT * REPLACE (CAST(coalesce(certified_beds, 0) + 1 AS SMALLINT) AS certified_beds) FROM v_snapshot""",
+    "interrupted_refresh": "SELECT file_id, file_name, modified_at, md5hash FROM v_files",
+    "replayed_merge": """
+        SELECT *, CAST(workdate // 100 AS INTEGER) AS month_key FROM (
+            SELECT t.* FROM v_target t ANTI JOIN v_candidates c ON c.provnum = t.provnum AND c.workdate = t.workdate
+            UNION ALL SELECT * FROM v_candidates)""",
+    "report_reuse": """
+        SELECT 'hprd_p10' AS measure, round(quantile_cont(hprd, 0.10), 6) AS value FROM v_shown
+        UNION ALL SELECT 'mix_p90', round(quantile_cont(contract_mix, 0.90), 6) FROM v_shown
+        UNION ALL SELECT 'facilities', count(*)::DOUBLE FROM v_shown
+        UNION ALL SELECT 'state_rows', count(DISTINCT state)::DOUBLE FROM v_shown""",
+    "inferred_load": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, count({c}) AS non_null, "
+        f"count(DISTINCT {c}) AS distinct_values FROM {t}"
+        for t, *columns in map(str.split, _COLUMNS.strip().splitlines()) if t in ("supplier", "orders", "part")
+        for c in columns
+    ),
     "reject_files": """
         SELECT file, count(*) AS rows_loaded FROM v_texts WHERE file NOT IN (
             SELECT file FROM v_broken WHERE no_key OR bad_fips OR long_state OR bad_hours OR bad_date)
@@ -318,10 +367,10 @@ _BODIES = {
         WHERE violations > 0""",
     "dedup_latest": "SELECT * FROM v_staffing",
     "error_class": f"""
-        SELECT doc_id, CASE WHEN {_IS_DATA_ERROR} THEN 'DATA_ERROR' ELSE 'TRANSIENT' END AS error_class FROM documents""",
+        SELECT doc_id, CASE WHEN {_IS_DATA_ERROR} THEN 'DATA_ERROR' ELSE 'TRANSIENT' END AS error_class FROM v_errors""",
     "error_message": f"""
         SELECT doc_id, md5(CASE WHEN {_IS_DATA_ERROR} THEN 'DATA_ERROR | ' || text || ' | source: ' || source
-                                ELSE text END) AS message_md5 FROM documents""",
+                                ELSE text END) AS message_md5 FROM v_errors""",
     "route_outcome": "SELECT event_id, action FROM v_routed",
     "quarantine_counts": """
         SELECT * FROM (
@@ -371,21 +420,21 @@ _BODIES = {
         JOIN v_fact_quality q ON q.provnum = m.provnum AND q.month_key = m.month_key""",
     "calendar_join": """
         SELECT year, day_name, is_weekend, count(*) AS days, CAST(sum(mdscensus) AS BIGINT) AS sum_census
-        FROM v_fact f JOIN v_calendar c ON c.date_key = f.date_key GROUP BY year, day_name, is_weekend""",
+        FROM v_fact f LEFT JOIN v_calendar c ON c.date_key = f.date_key GROUP BY year, day_name, is_weekend""",
     "month_calendar_join": """
         SELECT provnum, q.month_key, overall_rating, full_date, quarter_name, year
-        FROM v_fact_quality q JOIN v_calendar c ON c.date_key = q.month_key * 100 + 1""",
+        FROM v_fact_quality q LEFT JOIN v_month_calendar c ON c.date_key = q.month_key * 100 + 1""",
     "month_bounds": """
         SELECT coalesce(min(month_key), 0) AS min_month, coalesce(max(month_key), 0) AS max_month FROM v_fact""",
     "month_list": """
         SELECT CAST(m AS INTEGER) AS month_key, CAST(m // 100 AS VARCHAR) || '-' || lpad(CAST(m % 100 AS VARCHAR), 2, '0') AS month
         FROM (SELECT unnest(range((SELECT min(month_key) FROM v_fact), (SELECT max(month_key) + 1 FROM v_fact))) AS m)
         WHERE m % 100 BETWEEN 1 AND 12""",
-    "latest_attrs": "SELECT * FROM v_prov",
+    "latest_attrs": "SELECT * FROM v_newest",
     "range_filter": "SELECT * FROM v_range",
-    "facility_agg": "SELECT * FROM v_agg",
-    "facility_metrics": "SELECT * FROM v_facilities",
-    "monthly_trend": "SELECT * FROM v_trend",
+    "facility_agg": "SELECT * FROM v_range_totals",
+    "facility_metrics": "SELECT * FROM v_range_facilities",
+    "monthly_trend": "SELECT * FROM v_range_trend",
     "filter_options": """
         SELECT DISTINCT 'state' AS filter, state AS option FROM v_facilities WHERE state IS NOT NULL
         UNION ALL SELECT DISTINCT 'ownership_type', ownership_type FROM v_facilities WHERE ownership_type IS NOT NULL
@@ -393,7 +442,7 @@ _BODIES = {
     "facility_filter": """
         SELECT * FROM v_facilities
         WHERE reporting_days >= 40 AND hprd IS NOT NULL AND ownership_type IN ('N', 'R')
-          AND state IN ('FRANCE', 'GERMANY', 'CHINA', 'KENYA', 'PERU')""",
+          AND regexp_matches(state, '^NATION_([02468]|1[02468]|2[024])$')""",
     "kpis": """
         SELECT count(*) AS facilities, count(DISTINCT state) AS states,
                round(sum(hprd * avg_census) / sum(avg_census), 6) AS avg_hprd,
@@ -450,7 +499,9 @@ _BODIES = {
     ]),
     "full_dups": """
         SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS full_dup_rows FROM (
-            SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey, l_quantity, l_returnflag, l_shipdate)""",
+            SELECT count(*) AS n FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)
+            GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+                     l_returnflag, l_linestatus, l_shipdate)""",
     "key_multiplicity": "SELECT provnum, count(*) AS cnt FROM v_raw GROUP BY provnum HAVING count(*) > 1",
     "day_span": """
         SELECT datediff('day', min(strptime(CAST(workdate AS VARCHAR), '%Y%m%d')),
@@ -464,10 +515,9 @@ _BODIES = {
             UNION ALL SELECT 'provnum+workdate', count(*) FROM v_staffing GROUP BY provnum, workdate HAVING count(*) > 1)
         GROUP BY candidate""",
     "incremental_upsert": """
-        SELECT provnum, workdate, hrs_rn, stamp, md5hash, CAST(workdate // 100 AS INTEGER) AS month_key FROM (
-            SELECT *, row_number() OVER (PARTITION BY provnum, workdate ORDER BY stamp DESC, md5hash DESC) AS rn
-            FROM (SELECT * FROM v_target WHERE stamp IS NOT NULL UNION ALL SELECT * FROM v_incoming))
-        WHERE rn = 1""",
+        SELECT *, CAST(workdate // 100 AS INTEGER) AS month_key FROM (
+            SELECT t.* FROM v_target t ANTI JOIN v_candidates c ON c.provnum = t.provnum AND c.workdate = t.workdate
+            UNION ALL SELECT * FROM v_candidates)""",
 }
 
 

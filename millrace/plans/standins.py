@@ -43,17 +43,22 @@ def staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month snapshots per provider, some months missing.
+    """Month snapshots per provider, some months missing: their line items
+    belong to the month after.
 
     Line items fold to (supplier, month) before they meet the suppliers. Flags
     are one character, aggregated by code: numeric buffers hash where text
     buffers would sort every row.
     """
-    month = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("mk")
+    own = F.year("l_shipdate") * 100 + F.month("l_shipdate")
+    after = F.add_months("l_shipdate", 1)
+    month = (
+        F.when((F.col("l_suppkey") * 31 + own) % 13 != 0, own)
+        .otherwise(F.year(after) * 100 + F.month(after)).alias("mk")
+    )
     monthly = (
         table(spark, sf_dir, "lineitem")
         .select("l_suppkey", month, "l_returnflag", "l_linestatus")
-        .where((F.col("l_suppkey") * 31 + F.col("mk")) % 13 != 0)
         .groupBy("l_suppkey", "mk")
         .agg(
             F.max(F.ascii("l_returnflag")).alias("flag"), F.min(F.ascii("l_linestatus")).alias("status"),
@@ -100,8 +105,9 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One incoming file's rows: new and already stored keys."""
-    return staffing(spark, sf_dir).where(F.col("l_partkey") % 2 == 0).select(
+    """One incoming file's rows: every key not yet stored, and some that are."""
+    new = F.col("l_orderkey") % 3 == 0
+    return staffing(spark, sf_dir).where(new | (F.col("l_partkey") % 2 == 0)).select(
         "provnum", "workdate",
         (F.col("hrs_rn") + 1).cast("decimal(6,2)").alias("hrs_rn"),
         F.lit("2024-01-03").alias("stamp"),
@@ -159,22 +165,37 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def error_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One error text per document: data errors of several wordings, and others."""
+    language = F.col("lang")
+    prefix = (
+        F.when(language == "en", "Invalid digit: ").when(language == "de", "VALUE OUT OF RANGE ")
+        .when(language == "fr", "violates not-null: ").otherwise("connection reset, ")
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(prefix, "text").alias("message"), "source")
+
+
 def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as feed text with values that do not fit their columns."""
+    """Line items as feed text with values that do not fit their columns.
+
+    A file holds the orders of one remainder, so misfits meet in few files.
+    """
+    order, file = F.col("l_orderkey"), F.col("l_orderkey") % 500
+    late = F.col("l_linenumber") > 2
     text = [
-        F.when(F.col("l_orderkey") % 50 != 0, F.col("l_suppkey").cast("string")).alias("provnum"),
-        F.col("l_orderkey").cast("string").alias("county_fips"),
+        F.when(order % 50 != 0, F.col("l_suppkey").cast("string")).alias("provnum"),
+        F.when(file == 7, "70000").otherwise((order % 30000).cast("string")).alias("county_fips"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus"),
-                 F.when(F.col("l_linenumber") > 5, "!").otherwise("")).alias("state"),
-        F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("hrs_rn"),
-        F.when(F.col("l_partkey") % 7 == 0, "n/a").otherwise(F.col("l_partkey").cast("string"))
-        .alias("workdate"),
-        F.concat(F.lit("file_"), day_key_of("l_shipdate").cast("string")).alias("file"),
+                 F.when((order % 20 == 1) & late, "!").otherwise("")).alias("state"),
+        F.when(file == 11, "123456.78").otherwise((F.col("l_extendedprice") % 90000).cast("decimal(7,2)").cast("string"))
+        .alias("hrs_rn"),
+        F.when((order % 25 == 3) & late, "n/a").otherwise(F.col("l_partkey").cast("string")).alias("workdate"),
+        F.concat(F.lit("file_"), file.cast("string")).alias("file"),
     ]
     return table(spark, sf_dir, "lineitem").select(*text)
 
 
 __all__ = [
-    "incoming", "jobs", "ledger", "manifest", "quality_snapshots", "raw_texts", "snapshots",
+    "error_texts", "incoming", "jobs", "ledger", "manifest", "quality_snapshots", "raw_texts", "snapshots",
     "staffing", "staffing_raw", "stored", "table",
 ]

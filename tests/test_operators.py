@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import calendar, distribution, facts, history, metrics, profiling, quality, upsert
-from millrace.operators.sizing import broadcast_if_small
 from millrace.sources.layouts import SNAPSHOT_LAYOUT, STAFFING_LAYOUT, Field
 
 ROW = "provnum string, workdate int, v int, stamp string, md5 string"
@@ -164,10 +163,10 @@ def test_type_rules(spark, kind, value, rule):
     assert [v.rule for v in found] == ([rule] if rule else [])
 
 
-def test_rounding_and_required(spark):
+def test_cut_decimals_and_required(spark):
     fields = [Field("a", "decimal(4,2)"), Field("b", "varchar(5)")]
     df = spark.createDataFrame([("12.345", None)], "a string, b string")
-    assert str(quality.apply_types(df, fields).first().a) == "12.35"
+    assert str(quality.apply_types(df, fields).first().a) == "12.34"
     (violation,) = quality.check_types(df, fields, ["b"]).first()[quality.VIOLATIONS]
     assert (violation.column, violation.rule) == ("b", "not_null")
 
@@ -183,12 +182,15 @@ def test_layout_sizes():
     assert (len(STAFFING_LAYOUT.fields), len(SNAPSHOT_LAYOUT.fields)) == (33, 103)
 
 
-def test_broadcast_needs_a_small_side(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(broadcast_if_small(spark.range(10), 10))
-    assert not hinted(broadcast_if_small(spark.range(11), 10))
+@pytest.mark.parametrize(("kind", "value", "want"), [
+    ("decimal(5,2)", "-1.999", "-1.99"), ("decimal(5,2)", " .5 ", "0.50"), ("decimal(5,2)", "7.", "7.00"),
+    ("decimal(5,2)", "1e2", None), ("decimal(5,2)", "1000.001", None), ("decimal(4,0)", "12.9", "12"),
+    ("date", "2024-05-01", "2024-05-01"), ("date", "2024", None), ("date", "2024-5", None), ("date", "2024-13-01", None),
+])
+def test_conversions_follow_copy(spark, kind, value, want):
+    df = spark.createDataFrame([(value,)], "c string")
+    got = quality.apply_types(df, [Field("c", kind)]).first().c
+    assert (None if got is None else str(got)) == want
 
 
 # --- distribution ----------------------------------------------------------
@@ -275,8 +277,16 @@ def test_calendar_edges(spark):
     assert (last.week_of_year, last.day_of_week, last.day_name, last.quarter_name) == (1, 1, "Monday", "Q4")
     assert not calendar.dim_date(spark, "1900-01-01", "1900-01-01").first().is_leap_year
     assert calendar.dim_date(spark, "2024-01-02", "2024-01-01").count() == 0
-    with pytest.raises(ValueError):
-        calendar.date_spine(spark, "1000-01-01", "2024-01-01")
+    assert calendar.date_spine(spark, "1000-01-01", "2024-01-01").count() == 374009
+
+
+def test_calendar_join_keeps_every_fact(spark):
+    facts = spark.createDataFrame([(20240101, 1), (20240101, 2), (20240301, 3), (None, 4)], "date_key int, v int")
+    joined = calendar.join_calendar(facts, calendar.calendar_of(facts))
+    assert sorted(r.v for r in joined.collect()) == [1, 2, 3, 4]
+    assert calendar.calendar_of(facts).count() == 61
+    short = calendar.join_calendar(facts, calendar.dim_date(spark, "2024-01-01", "2024-01-31"))
+    assert sum(r.year is None for r in short.collect()) == 2
 
 
 def test_full_duplicates_tell_nulls_apart(spark):
