@@ -48,8 +48,11 @@ class Vocabulary:
         ids, symbols = spec["model"]["vocab"], byte_symbols()
         byte_of = {s: b for b, s in enumerate(symbols)}
         self.byte_ids = [ids[s] for s in symbols]
+        self._of_bytes = bytes(self.byte_ids) if max(self.byte_ids) < 256 else None
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        self.ranks = {(ids[a] << 32) | ids[b]: rank for rank, (a, b) in enumerate(merges)}
+        self.ranks: list[dict[int, int]] = [{} for _ in range(max(ids.values()) + 1)]
+        for rank, (a, b) in enumerate(merges):
+            self.ranks[ids[a]][ids[b]] = rank
         self.merged = [ids[a + b] for a, b in merges]
         self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in ids.items()}
         self.special = {}
@@ -68,55 +71,54 @@ class Vocabulary:
         count = len(symbols)
         if count < 2:
             return symbols
-        rank_of, width = self.ranks.get, 1 << (count - 2).bit_length()
+        ranks, merged, width = self.ranks, self.merged, 1 << (count - 2).bit_length()
         tree = [NO_RANK] * (2 * width)
         tree[width : width + count - 1] = [
-            rank_of((a << 32) | b, NO_RANK) for a, b in zip(symbols, symbols[1:], strict=False)
+            ranks[a].get(b, NO_RANK) for a, b in zip(symbols, symbols[1:], strict=False)
         ]
         for node in range(width - 1, 0, -1):
             a, b = tree[2 * node], tree[2 * node + 1]
             tree[node] = a if a <= b else b
         before, after = list(range(-1, count - 1)), list(range(1, count + 1))
-
-        def put(node: int, rank: int) -> None:
-            tree[node] = rank
-            while node > 1:
-                a, b = tree[node], tree[node ^ 1]
-                node >>= 1
-                least = a if a <= b else b
-                if tree[node] == least:
-                    return
-                tree[node] = least
-
         while (best := tree[1]) < NO_RANK:
             node = 1
             while node < width:
-                node *= 2
+                node += node
                 if tree[node] != best:
                     node += 1
             left = node - width
             right = after[left]
-            symbols[left] = self.merged[best]
+            symbols[left] = symbol = merged[best]
             symbols[right] = -1
             beyond = after[left] = after[right]
-            if right < count - 1 and tree[width + right] != NO_RANK:
-                put(width + right, NO_RANK)
+            low = high = node
+            if right < count - 1:
+                high = width + right
+                tree[high] = NO_RANK
             if beyond < count:
                 before[beyond] = left
-                put(node, rank_of((symbols[left] << 32) | symbols[beyond], NO_RANK))
+                tree[node] = ranks[symbol].get(symbols[beyond], NO_RANK)
             else:
-                put(node, NO_RANK)
-            ahead = before[left]
-            if ahead >= 0:
-                rank = rank_of((symbols[ahead] << 32) | symbols[left], NO_RANK)
-                if rank != tree[width + ahead]:
-                    put(width + ahead, rank)
+                tree[node] = NO_RANK
+            if left:
+                ahead = before[left]
+                low = width + ahead
+                tree[low] = ranks[symbols[ahead]].get(symbol, NO_RANK)
+            # The changed leaves lie within one token's length of each other.
+            while low > 1:
+                low >>= 1
+                high >>= 1
+                for node in range(low, high + 1):
+                    a, b = tree[node + node], tree[node + node + 1]
+                    tree[node] = a if a <= b else b
         return [s for s in symbols if s >= 0]
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one pre-token, without looking at kept ones."""
-        byte_ids = self.byte_ids
-        return tuple(self.merge([byte_ids[b] for b in piece.encode("utf-8", "replace")]))
+        raw = piece.encode("utf-8", "replace")
+        if self._of_bytes:
+            return tuple(self.merge(list(raw.translate(self._of_bytes))))
+        return tuple(self.merge([self.byte_ids[b] for b in raw]))
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text without added tokens; joined they are the text."""
