@@ -93,3 +93,11 @@ def op9_quality_rules(spark, sf_dir):
 @query
 def op10_jaccard_join(spark, sf_dir):
     return jaccard.linked_documents(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query
+def pipeline(spark, sf_dir):
+    """Toxicity, exact dedup, Jaccard join, mixing and BPE, one after the other."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
