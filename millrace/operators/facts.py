@@ -45,6 +45,7 @@ def daily_fact(silver: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
+# The ratings and counts the quality fact carries.
 QUALITY_COLUMNS = [
     "overall_rating", "health_inspection_rating", "qm_rating", "longstay_qm_rating",
     "shortstay_qm_rating", "staffing_rating", "total_nurse_turnover_pct", "rn_turnover_pct",

@@ -14,6 +14,7 @@ from millrace.functions.numbers import ratio, weighted_mean
 HPRD_LOW = 3.0
 HPRD_TARGET = 3.48
 
+# The provider attributes that reports show.
 ATTRIBUTES = [
     "provider_name", "state", "county_name", "ownership_type", "provider_type", "certified_beds",
 ]

@@ -538,6 +538,7 @@ def by_state(spark, sf_dir):
     return rounded(metrics.by_state(_filtered(spark, sf_dir)), "census", "hprd", "contract_mix")
 
 
+# The columns of the ranked lists.
 RANKED = [
     "provnum", "provider_name", "state", "ownership_type", "certified_beds", "avg_census", "hprd",
     "contract_mix", "contract_reliance", "reporting_days",
@@ -572,6 +573,7 @@ def thresholds(spark, sf_dir):
     return rounded(distribution.thresholds(_report(spark, sf_dir)), "hprd_p10", "mix_p90")
 
 
+# The columns of the outlier list.
 FLAGGED = [
     "Flag label", "provnum", "provider_name", "state", "ownership_type", "hprd", "contract_mix",
     "contract_reliance", "avg_census",

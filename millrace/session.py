@@ -73,9 +73,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage through a table written in the shared scratch folder.
 
     Unlike a cached frame it survives losing executors without recomputing,
-    and unlike an RDD checkpoint it stays columnar and prunable.
+    and unlike an RDD checkpoint it stays columnar and prunable. The folder
+    goes when the application ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.parquet(path)

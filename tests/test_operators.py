@@ -203,7 +203,7 @@ def test_quantile_equals_numpy(spark, q, shape):
     values = {"spread": rng.lognormal(0, 3, 5000), "hot": np.where(rng.random(5000) < 0.4, 1.0, rng.random(5000)),
               "tiny": np.array([1.0, 2.0, 3.0, 4.0])}[shape]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
-    got = distribution.quantiles(df, {"x": q}, accuracy=200)["x"]
+    got = distribution.quantiles(df, {"x": q})["x"]
     assert got == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
 
 
