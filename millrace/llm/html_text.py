@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from millrace.llm.labelled import least_hashes
 from millrace.llm.min_cut import Cut
 
 #: HTML elements by their role.
@@ -284,8 +285,8 @@ def main_text(page: str, weights: tuple[float, ...] = PLAIN) -> str:
 def fitted(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = PAGES) -> tuple[float, ...]:
     """Weights learnt from at most ``sample`` pages, chosen by a hash of their ids."""
     rows = pages.select(id_col, html_col).filter(F.col(html_col).isNotNull())
-    order = [F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.md5(html_col)]
-    return train([r[html_col] for r in rows.orderBy(*order).limit(sample).collect()])
+    chosen = least_hashes(rows, F.col(id_col), sample)
+    return train([r[html_col] for r in chosen.collect()])
 
 
 def extracted(

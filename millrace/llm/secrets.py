@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import random_forest
+from millrace.llm.labelled import least_hashes
 from millrace.llm.rows import text_or_empty
 from millrace.session import written
 
@@ -187,10 +188,10 @@ def findings(
 def train(labelled: DataFrame, lexicon: Lexicon, per_label: int = PER_LABEL) -> random_forest.RandomForest | None:
     """A forest from at most ``per_label`` findings of each label, chosen by a
     hash of value and context; None unless both labels occur."""
-    order = F.md5(F.concat_ws("|", "value", "before", F.col("start").cast("string")))
+    key = F.concat_ws("|", "value", "before", F.col("start").cast("string"))
     rows = []
     for label in (0, 1):
-        chosen = labelled.filter(F.col("label") == label).orderBy(order).limit(per_label)
+        chosen = least_hashes(labelled.filter(F.col("label") == label), key, per_label)
         rows += chosen.select("value", "before", "after", "path", "label").collect()
     y = np.array([r["label"] for r in rows], float)
     if not len(y) or y.min() == y.max():
