@@ -42,7 +42,11 @@ SECRET_NAMES = (
 HARMLESS_NAMES = ("sha", "md5", "commit", "uuid", "guid", "version", "checksum", "digest", "http", "www", "isbn", "phone", "tel")
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "xxxx", "dummy", "sample", "redacted", "1234567")
 
-_CANDIDATE = regex.compile(r"[A-Za-z0-9+/_=.@:-]{6,}+")
+_CHAR = "[A-Za-z0-9+/_=.@:-]"
+#: A run with a digit or an assignment, a very long one, or one that something assigns.
+_CANDIDATE = regex.compile(
+    rf"(?<!{_CHAR})(?:(?={_CHAR}*?[0-9=:])|(?={_CHAR}{{24}})|(?<=[\"'=:>]\s*)|(?<=\bis\s+)){_CHAR}{{6,}}+"
+)
 _FORMAT = regex.compile("|".join(f"(?:{f})" for f in FORMATS))
 _NAME = regex.compile(rf"(?i)(?:{'|'.join(SECRET_NAMES)})[\w-]*\s*(?:=|:|=>|is)\s*[\"']?$")
 _INNER = regex.compile(r"^(?P<name>[A-Za-z_][\w-]{1,40})[=:](?P<value>.{6,})$")
