@@ -4,9 +4,12 @@
    pair differs in at most ``t`` shingles (``t`` follows from the sizes), so of
    ``t + 1`` groups one is the same in both: documents that agree in no group
    cannot link. Agreeing documents form a block.
-2. In each block the documents pair with the block's least one; the count
-   vectors of a pair bound its overlap, and pairs that survive are verified on
-   whole texts. Verified links give first components.
+2. Each document pairs with one partner: of the least documents of its blocks
+   the one it shares most blocks with. The count vectors of a pair bound its
+   overlap, and pairs that survive are verified on whole texts. Verified links
+   give first components. This is repeated a few times among documents of
+   different components, with other partners, so that groups of many copies
+   grow together before any block is searched whole.
 3. Blocks that still hold several components are searched with an R-tree over
    the count vectors for pairs between different components; the survivors are
    verified too. Pairs inside one component can add nothing and are left out.
@@ -29,16 +32,18 @@ from pyspark.sql import functions as F
 
 from millrace.llm.count_tree import CountTree, reachable
 from millrace.llm.graph import components
-from millrace.llm.rows import attach, same
+from millrace.llm.rows import attach
 from millrace.session import written
 
-GROUPS = 64
+GROUPS = 128
+FULL = (1 << 16) - 1
 CLASS_RATIO = 1.4
 #: Documents of a size class that may need keys for empty groups, at most.
 RARE = 1e-5
 HOT_SHARE, HOT_LEAST, SAMPLE = 200_000, 100, 16
 TILE = 4096
 PER_LEADER = 512
+ROUNDS = 4
 CACHED_WORDS = 1 << 18
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -140,6 +145,20 @@ def block_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def group_counts(shingles: np.ndarray) -> bytes:
+    """How many shingles fall in each hash group, two bytes a group; beyond
+    65,535 a group counts as full."""
+    counts = np.bincount(shingles >> np.uint64(64 - GROUPS.bit_length() + 1), minlength=GROUPS)
+    return np.minimum(counts, FULL).astype("<u2").tobytes()
+
+
+def _unpacked(counts: list[bytes]) -> np.ndarray:
+    """Count vectors as numbers; a full group bounds nothing, so it counts as very many."""
+    out = np.frombuffer(b"".join(counts), "<u2").reshape(-1, GROUPS).astype(np.int64)
+    out[out == FULL] = 1 << 40
+    return out
+
+
 _ROWS = "key long, set_id long, doc_id {kind}, n_shingles long, text_key long, counts binary"
 
 
@@ -158,7 +177,7 @@ def _blocks(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     digest = xxhash.xxh3_64_intdigest(shingles.tobytes())
                     sizes.append(len(shingles))
                     sets.append(digest)
-                    counts.append(np.bincount(shingles >> np.uint64(58), minlength=GROUPS).astype("<i4").tobytes())
+                    counts.append(group_counts(shingles))
                     if digest not in seen:
                         seen.add(digest)
                         own = block_keys(shingles, percent)
@@ -208,9 +227,7 @@ def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), "<i4").reshape(-1, GROUPS) for i in (2, 3)
-            )
+            left, right = (_unpacked(batch.column(i).to_pylist()) for i in (2, 3))
             sizes = left.sum(axis=1) + right.sum(axis=1)
             shared = np.minimum(left, right).sum(axis=1)
             keep = reachable(shared, sizes, 0, percent)
@@ -261,29 +278,63 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, pe
     return ordered.mapInArrow(judged, "a long, b long")
 
 
+def _open_blocks(members: DataFrame, first: DataFrame) -> DataFrame:
+    """``key, leader, set_id, component`` of the blocks that hold several
+    components; of blocks with the same sets, one."""
+    labelled = members.select("key", "set_id").distinct().join(
+        first.withColumnRenamed("node", "set_id"), "set_id", "left"
+    ).select("key", "set_id", F.coalesce("component", "set_id").alias("component"))
+    labelled = written(labelled, "labelled")
+    blocks = labelled.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("set_id").alias("leader"),
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("sum_1"),
+        F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("sum_2"),
+    ).filter("low < high")
+    distinct = blocks.groupBy("leader", "size", "sum_1", "sum_2").agg(F.min("key").alias("key"))
+    return labelled.join(distinct.select("key", "leader", "size"), "key")
+
+
+def _partners(blocks: DataFrame, turn: int) -> DataFrame:
+    """At most four pairs per set: of the sets that lead its open blocks this
+    turn and are of another component, those it shares most blocks with."""
+    leads = blocks.groupBy("key").agg(
+        F.min_by(F.struct("set_id", "component"), F.xxhash64("set_id", F.lit(turn))).alias("lead")
+    )
+    best = (
+        blocks.join(leads, "key").filter(F.col("component") != F.col("lead.component"))
+        .groupBy("set_id", F.col("lead.set_id").alias("partner")).count()
+        .groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("count", "partner")), False).alias("best"))
+        .select("set_id", F.explode(F.slice("best", 1, 4)).alias("best"))
+    )
+    return best.select(
+        F.least("set_id", "best.partner").alias("a"), F.greatest("set_id", "best.partner").alias("b")
+    ).distinct()
+
+
 def _between_components(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in a block that the R-tree cannot exclude.
 
-    ``blocks``: ``key, set_id, component``. A block of more than 4,096 sets is
-    cut into tiles, and each pair of tiles is a task of its own.
+    ``blocks``: ``key, leader, size, set_id, component``. A block of more than
+    4,096 sets is cut into tiles, and each pair of tiles is a task's own piece.
+    Blocks of one leader meet in a task, which names a pair of theirs once.
     """
-    tiles = blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
     own = F.pmod(F.hash("set_id"), F.col("tiles"))
     dealt = (
-        blocks.join(tiles, "key").withColumn("own", own)
+        blocks.withColumn("tiles", tiles).withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
-            "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            "leader", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key",
             (F.col("own") > F.col("other")).cast("int").alias("side"), "set_id", "component",
         )
         .join(sets.select("set_id", "counts"), "set_id")
-        .select("key", "low", "high", "side", "component", "set_id", "counts")
+        .select("leader", "low", "high", "key", "side", "component", "set_id", "counts")
     )
 
-    def search(places, sides, component, ids, counts) -> np.ndarray:
-        """Pairs of one place: tile against itself, or the two sides against each other."""
+    def search(place, sides, component, ids, counts) -> np.ndarray:
+        """Pairs of one place: a tile with itself, or its two sides with each other."""
         first = np.flatnonzero(sides == 0)
-        second = first if places[1] == places[2] else np.flatnonzero(sides == 1)
+        second = first if place[1] == place[2] else np.flatnonzero(sides == 1)
         if not len(first) or not len(second):
             return np.empty((0, 2), np.int64)
         tree, out = CountTree(counts[first]), []
@@ -294,25 +345,30 @@ def _between_components(blocks: DataFrame, sets: DataFrame, percent: int) -> Dat
         return np.unique(np.concatenate(out), axis=0)
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, held = None, []
+        place, held, seen = None, [], set()
 
         def flush() -> pa.RecordBatch:
             sides, component, ids = (np.array([h[i] for h in held], np.int64) for i in range(3))
-            counts = np.frombuffer(b"".join(h[3] for h in held), "<i4").reshape(-1, GROUPS)
-            pairs = search(place, sides, component, ids, counts)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            pairs = search(place, sides, component, ids, _unpacked([h[3] for h in held]))
+            new = [p for p in map(tuple, pairs.tolist()) if p not in seen]
+            seen.update(new)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in new], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            )
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                if row[:3] != place:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                if row[:4] != place:
                     if held:
                         yield flush()
-                    place, held = row[:3], []
-                held.append(row[3:])
+                    if place is None or row[0] != place[0]:
+                        seen.clear()
+                    place, held = row[:4], []
+                held.append(row[4:])
         if held:
             yield flush()
 
-    ordered = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    ordered = dealt.repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high", "key")
     return ordered.mapInArrow(searched, "a long, b long").distinct()
 
 
@@ -331,6 +387,10 @@ def linked_documents(
 
     Shingles and sets are told apart by 64-bit hashes.
     """
+    return _linked(docs, words, percent, id_col, text_col).drop("text_key").withColumnRenamed("doc_id", id_col)
+
+
+def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     ).withColumn("text_key", F.xxhash64("text"))
@@ -351,26 +411,31 @@ def linked_documents(
         "sets",
     )
     parts = members.filter("ways IS NOT NULL").select("key", F.col("leader").alias("set_id")).distinct()
-    between = parts.withColumn("leader", F.min("set_id").over(in_block))
-    stars = written(
-        _counted(
-            members.select("leader", "set_id").unionByName(between.select("leader", "set_id"))
-            .filter("leader <> set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct(),
-            sets, percent,
-        ),
-        "stars",
+    between = parts.withColumn("leader", F.min("set_id").over(in_block)).select("set_id", "leader")
+    partners = (
+        members.select("set_id", "leader").unionByName(between).filter("leader <> set_id")
+        .groupBy("set_id", "leader").count()
+        .groupBy("set_id").agg(F.max(F.struct("count", "leader")).alias("best"))
     )
-    links = written(_verified(stars, sets, rows, words, percent), "links")
+    pairs = partners.select(
+        F.least("set_id", "best.leader").alias("a"), F.greatest("set_id", "best.leader").alias("b")
+    ).distinct()
+    judged = written(_counted(pairs, sets, percent), "judged")
+    links = written(_verified(judged, sets, rows, words, percent), "links")
     first = written(components(links), "components")
-    labelled = members.select("key", "set_id").distinct().join(
-        first.withColumnRenamed("node", "set_id"), "set_id", "left"
-    ).select("key", "set_id", F.coalesce("component", "set_id").alias("component"))
-    labelled = written(labelled, "labelled")
-    open_keys = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low < high").select("key")
-    rest = _between_components(labelled.join(open_keys, "key", "left_semi"), sets, percent)
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    blocks = _open_blocks(members, first)
+    for turn in range(1, ROUNDS):
+        pairs = _partners(blocks, turn).join(judged, ["a", "b"], "left_anti")
+        pairs = written(_counted(pairs, sets, percent), "judged")
+        judged = judged.unionByName(pairs)
+        more = written(_verified(pairs, sets, rows, words, percent), "links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        first = written(components(links), "components")
+        blocks = _open_blocks(members, first)
+    rest = _between_components(blocks, sets, percent).join(judged, ["a", "b"], "left_anti")
+    rest = written(rest, "rest")
     if not rest.isEmpty():
         more = written(_verified(rest, sets, rows, words, percent), "links")
         first = written(components(links.unionByName(more)), "components")
@@ -378,9 +443,10 @@ def linked_documents(
         first.withColumnRenamed("node", "set_id"), "set_id", "left"
     ).withColumn("component", F.coalesce("component", "set_id"))
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = grouped.join(least, "component").select("doc_id", "n_shingles", "component_id")
-    alone = owners.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumnRenamed("doc_id", id_col)
+    columns = ["doc_id", "n_shingles", "component_id", "text_key"]
+    linked = grouped.join(least, "component").select(columns)
+    alone = owners.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id")).select(columns)
+    return linked.unionByName(alone)
 
 
 def one_of_each(
@@ -388,15 +454,15 @@ def one_of_each(
 ) -> DataFrame:
     """``docs`` with one row of each component, the one with the least id.
 
-    Rows without shingles all stay.
+    Rows without shingles all stay. Of rows that share the least id, one stays;
+    in a component of null ids only, all do.
     """
-    linked = linked_documents(docs, words, percent, id_col, text_col)
-    first = F.row_number().over(Window.partitionBy("component_id", id_col).orderBy("n_shingles"))
-    chosen = linked.withColumn(
-        "_stays",
-        (F.col("n_shingles") == 0)
-        | (F.col(id_col).eqNullSafe(F.col("component_id")) & (first == 1)),
+    first = F.row_number().over(Window.partitionBy("component_id", "doc_id").orderBy("n_shingles", "text_key"))
+    stays = (F.col("n_shingles") == 0) | F.col("component_id").isNull() | (
+        (F.col("doc_id") == F.col("component_id")) & (first == 1)
+    )
+    decided = _linked(docs, words, percent, id_col, text_col).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.coalesce(stays, F.lit(False)).alias("__stays")
     )
-    keys = {"_id": F.col(id_col)}
-    decided = chosen.select(F.col(id_col).alias("_id"), "_stays")
-    return attach(docs, decided, keys, ["_stays"]).filter("_stays").select(docs.columns)
+    keys = {"__id": F.col(id_col), "__key": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))}
+    return attach(docs, decided, keys, ["__stays"]).filter("__stays").select(docs.columns)
