@@ -60,10 +60,33 @@ _NAME = re.compile(r"[a-z]+")
 _BLANK = re.compile(r"[\x20\x09-\x0d\xa0]+")
 
 TEXT, REST, FORM, UNKNOWN = 1, -1, -2, 0
-#: Costs, in thousandths: of markup that names a block's role, and of parted neighbours.
-CERTAIN, LIKELY, UNCERTAIN = 9000, 4000, 1500
+#: Costs, in thousandths: the most that the classifier may say of a block, what markup that names a role
+#: says (a boilerplate element, a boilerplate class or id, an article or form, the bare body), and of
+#: parted neighbours. Each of them is less than the classifier's most, so none decides alone.
+MOST = 8000
+ELEMENT, NAMED, LIKELY, UNCERTAIN = 6500, 4500, 4000, 1500
 NEXT, SIBLING, COUSIN, ACROSS = 300, 600, 250, 60
 PAGES = 400
+#: Pull to the plain weights, per block.
+RIDGE = 0.005
+
+
+@dataclass
+class Place:
+    """What markup says of the blocks in an element: a role, and how much it counts.
+
+    An article inside boilerplate speaks against what is ``around`` it. Alone
+    in there it is the text, and the name around it misleads; one of several
+    is a teaser or a comment, and the name around them holds.
+    """
+
+    role: int = UNKNOWN
+    weight: int = 0
+    around: Place | None = None
+    articles: int = 0
+
+    def settled(self) -> Place:
+        return self.around.settled() if self.around and self.around.articles > 1 else self
 
 
 @dataclass
@@ -72,21 +95,25 @@ class Block:
     tag: str
     link_share: float
     parents: tuple[int, int, int]
-    role: int
+    place: Place
+
+    @property
+    def role(self) -> int:
+        return self.place.role
 
 
 @dataclass
 class _Open:
     tag: str
     number: int
-    role: int
+    place: Place
 
 
 @dataclass
 class _Builder:
     """Collects the blocks of one page while its tags go by."""
 
-    stack: list[_Open] = field(default_factory=lambda: [_Open("", 0, UNKNOWN)])
+    stack: list[_Open] = field(default_factory=lambda: [_Open("", 0, Place())])
     blocks: list[Block] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
@@ -108,7 +135,7 @@ class _Builder:
                 top = self.stack[-1]
                 ids = [o.number for o in self.stack[-3:]][::-1]
                 ids += [0] * (3 - len(ids))
-                self.blocks.append(Block(text, top.tag, self.linked / max(1, self.length), tuple(ids), top.role))
+                self.blocks.append(Block(text, top.tag, self.linked / max(1, self.length), tuple(ids), top.place))
             self.parts, self.linked, self.length = [], 0, 0
 
     def open(self, tag: str, attributes: str) -> None:
@@ -119,7 +146,7 @@ class _Builder:
             if closes and self.stack[-1].tag in closes:
                 self.stack.pop()
         self.numbers += 1
-        self.stack.append(_Open(tag, self.numbers, _role(tag, attributes, self.stack)))
+        self.stack.append(_Open(tag, self.numbers, _place(tag, attributes, self.stack[-1].place)))
 
     def close(self, tag: str) -> None:
         self.flush()
@@ -129,33 +156,40 @@ class _Builder:
                 return
 
 
-def _role(tag: str, attributes: str, stack: list[_Open]) -> int:
+def _place(tag: str, attributes: str, above: Place) -> Place:
     """What the markup says of everything inside the element.
 
-    Boilerplate holds all the way down; a form gives way to an article in it.
+    Boilerplate and forms hold all the way down, but give way to an article in them.
     """
-    above = stack[-1].role
-    if above == REST or tag in AROUND_REST:
-        return REST
-    if attributes:
-        names: set[str] = set()
-        for name, a, b, c in _ATTRIBUTE.findall(attributes):
-            name = name.lower()
-            if name in ("class", "id"):
-                names.update(_NAME.findall((a or b or c).lower()))
-            elif name == "role" and (a or b or c).lower() in ROLES_REST:
-                return REST
-        if tag != "body" and tag != "html" and names & NAMES_REST:
-            return REST
-    if tag in AROUND_TEXT:
-        return TEXT
-    if tag == "form":
-        return FORM
-    if tag == "header" and above != TEXT:
-        return REST
+    says = _boilerplate(tag, attributes, above)
+    if says:
+        return above if above.role == REST and above.weight <= -says else Place(REST, -says)
+    if tag in AROUND_TEXT and above.role != TEXT:
+        if above.role != REST or tag == "main":
+            return Place(TEXT, LIKELY)
+        above.articles += 1
+        return Place(TEXT, LIKELY, above)
+    if tag == "form" and above.role != REST:
+        return Place(FORM, -LIKELY)
     return above
 
 
+def _boilerplate(tag: str, attributes: str, above: Place) -> int:
+    """How much the element itself says for boilerplate."""
+    if tag in AROUND_REST:
+        return ELEMENT
+    names: set[str] = set()
+    for name, a, b, c in _ATTRIBUTE.findall(attributes or ""):
+        name = name.lower()
+        if name in ("class", "id"):
+            names.update(_NAME.findall((a or b or c).lower()))
+        elif name == "role" and (a or b or c).lower() in ROLES_REST:
+            return ELEMENT
+    if tag != "body" and tag != "html" and names & NAMES_REST:
+        return NAMED
+    return NAMED if tag == "header" and above.role != TEXT else 0
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in order; scripts, styles, form controls and markup are gone."""
     builder, at = _Builder(), 0
@@ -184,6 +218,8 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in BLOCK:
             builder.close(tag) if ending else builder.open(tag, attributes)
     builder.flush()
+    for block in builder.blocks:
+        block.place = block.place.settled()
     return builder.blocks
 
 
@@ -224,11 +260,13 @@ PLAIN = (-2.0, 2.0, -4.0, 1.5, 1.0, 0.5, -1.0, 1.5, -0.5)
 
 def train(pages: list[str]) -> tuple[float, ...]:
     """Weights of a logistic classifier over block shapes, learnt from the
-    blocks whose markup names their role. Both roles weigh alike."""
+    blocks whose markup names their role and does not contradict itself. Both
+    roles weigh alike. Blocks of one template say the same over and over, so
+    the more there are, the more it takes to leave ``PLAIN``."""
     rows, target = [], []
     for page in pages:
         for block in blocks_of(page):
-            if block.role in (TEXT, REST):
+            if block.role in (TEXT, REST) and not block.place.around:
                 rows.append(shape(block))
                 target.append(float(block.role == TEXT))
     x, y = np.array(rows).reshape(-1, len(SHAPE)), np.array(target)
@@ -236,7 +274,7 @@ def train(pages: list[str]) -> tuple[float, ...]:
         return PLAIN
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum()) * len(y)
     w = np.array(PLAIN)
-    ridge = np.full(len(w), 1.0)
+    ridge = np.full(len(w), max(1.0, RIDGE * len(y)))
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (weight * (p - y)) + ridge * (w - PLAIN)
@@ -245,19 +283,34 @@ def train(pages: list[str]) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
+def evidence(blocks: list[Block]) -> list[int]:
+    """What markup says for each block being content.
+
+    Where nothing on the page is called its text, the name of an element that
+    holds more than half of the unlinked text counts the less the more it holds:
+    boilerplate seldom outweighs the rest, and some wrapper has to hold the text.
+    """
+    own = [len(b.text) * (1 - b.link_share) for b in blocks]
+    held: dict[int, float] = {}
+    for block, length in zip(blocks, own, strict=True):
+        held[id(block.place)] = held.get(id(block.place), 0) + length
+    total = sum(own)
+    full = not total or any(b.role == TEXT for b in blocks)
+    out = []
+    for block in blocks:
+        misled = block.role == FORM or block.place.weight == -NAMED
+        trust = 1.0 if full or not misled else min(1.0, 2 - 2 * held[id(block.place)] / total)
+        out.append(int(trust * block.place.weight))
+    return out
+
+
 def main_blocks(blocks: list[Block], weights: tuple[float, ...]) -> list[Block]:
     """The blocks on the content side of the minimum cut."""
     keep, drop = [], []
-    for block in blocks:
+    for block, said in zip(blocks, evidence(blocks), strict=True):
         seen = sum(a * b for a, b in zip(weights, shape(block), strict=True))
-        cost = int(max(-3.0, min(3.0, seen)) * 1000)
-        if block.role == TEXT:
-            cost += LIKELY + max(0, -cost)
-        elif block.role == REST:
-            cost -= CERTAIN
-        elif block.role == FORM:
-            cost -= LIKELY
-        else:
+        cost = int(max(-MOST, min(MOST, 1000 * seen))) + said
+        if block.role == UNKNOWN:
             cost -= UNCERTAIN * (block.tag in ("", "body", "html"))
         keep.append(max(cost, 0))
         drop.append(max(-cost, 0))

@@ -210,6 +210,28 @@ def test_page_without_landmarks_keeps_its_prose():
     assert html_text.main_text(page) == f"{prose}\n\n{prose}"
 
 
+LONG = "This is a long paragraph of prose. It has sentences, commas and all that, and it goes on for quite a while. " * 3
+LINKS = "<div><a href=x>Home</a> <a href=y>About us</a> <a href=z>Contact</a></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="sidebar-layout">{LINKS}<article><h1>What the title says</h1><p>{LONG}</p></article></div>',
+    f'<form id="aspnet">{LINKS}<main><h1>What the title says</h1><p>{LONG}</p></main></form>',
+    f'{LINKS}<form><h1>What the title says</h1><p>{LONG}</p></form>',
+    f'<article><h1>What the title says</h1><p>{LONG}</p><ul><li><a href=a>Share this</a></li><li><a href=b>Next story</a></li></ul></article>',
+    f'<main><h1>What the title says</h1><p>{LONG}</p></main><div class="related"><article><a href=q>Other</a><p>A teaser, read it.</p></article>'
+    "<article><a href=q>More</a><p>Another teaser.</p></article></div>",
+])
+def test_names_are_evidence_and_not_a_verdict(page):
+    assert html_text.main_text(page) == f"What the title says\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("wrapper", ["<div>", '<div class="has-sidebar header-fixed">', '<div id="page-header">'])
+def test_text_of_a_page_with_misleading_names_or_none(wrapper):
+    page = f"<body>{LINKS}{wrapper}<p>{LONG}</p><p>{LONG}</p></div><div>Imprint</div></body>"
+    assert html_text.main_text(page) == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
 def test_pages_table(workers, sf_dir):
     pages = workers.read.parquet(f"{sf_dir}/pages.parquet")
     odd = workers.createDataFrame([(None, "u", None), (1, None, ""), (1, None, "")], "page_id long, url string, html string")
