@@ -27,6 +27,8 @@ from millrace.session import written
 
 #: Labelled findings per label that training may see; words of the dictionary.
 PER_LABEL, DICTIONARY = 2000, 5000
+#: Invented findings of each label beside fewer known secrets.
+LEAST = 600
 THRESHOLD = 0.5
 ROWS = 256
 
@@ -48,7 +50,13 @@ _CANDIDATE = regex.compile(
     rf"(?<!{_CHAR})(?:(?={_CHAR}*?[0-9=:])|(?={_CHAR}{{24}})|(?<=[\"'=:>]\s*)|(?<=\bis\s+)){_CHAR}{{6,}}+"
 )
 _FORMAT = regex.compile("|".join(f"(?:{f})" for f in FORMATS))
-_NAME = regex.compile(rf"(?i)(?:{'|'.join(SECRET_NAMES)})[\w-]*\s*(?:=|:|=>|is)\s*[\"']?$")
+_ASSIGNED = rf"(?i)(?:{'|'.join(SECRET_NAMES)})[\w-]{{0,60}}\\?[\"'`]?\s*(?::?=+>?|:|\bis\b)\s*"
+_NAME = regex.compile(rf"{_ASSIGNED}\\?[\"'`]?$")
+#: What a secret name is given: all between quotes on one line, else all up to the next blank.
+_GIVEN = regex.compile(rf"{_ASSIGNED}(?:(?P<quote>\\?[\"'`])(?P<value>(?:(?!(?P=quote))(?:\\.|[^\n\\]))+)(?P=quote)|\\?[\"'`]?(?P<value>\S+))")
+#: Characters of invented secrets.
+DRAWN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789!#$%&*()~@^?+-_/."
+_PAIRS = {")": "(", "]": "[", "}": "{", ">": "<"}
 _INNER = regex.compile(r"^(?P<name>[A-Za-z_][\w-]{1,40})[=:](?P<value>.{6,})$")
 _HARMLESS = regex.compile(
     r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+\.?|[\d.:+/_-]+|(?i:https?:.*|www\..*)|[A-Za-z_./:=-]+|[\w-]+(?:\.[\w-]+)*\.[a-z]{2,6}(?:/.*)?"
@@ -90,19 +98,46 @@ class Lexicon:
         return covered / max(1, len(low))
 
 
+def _bare(value: str) -> str:
+    """A blank-delimited value without the punctuation of the text around it."""
+    while value and (value[-1] in ".,;:\"'`" or (value[-1] in _PAIRS and value.count(_PAIRS[value[-1]]) < value.count(value[-1]))):
+        value = value[:-1]
+    return value
+
+
+def given(text: str) -> list[tuple[int, str]]:
+    """Start and value of all that secret names are given, whole and of any length and characters."""
+    out, at = [], 0
+    while match := _GIVEN.search(text, at):
+        value, at = match.group("value"), match.start("value")
+        if match.group("quote") is None:
+            value = _bare(value)
+        if value.strip():
+            out.append((at, value))
+        # A value may be a name itself, as in "auth: token=...": the search goes on inside it.
+        at = max(at, match.start() + 1)
+    return out
+
+
 def candidates(text: str) -> list[tuple[int, str]]:
     """Start and value of what may be a secret."""
-    out = []
+    named = given(text)
+    #: No run is looked for inside a value; one of several words may hold more.
+    taken = [(start, start + len(value)) for start, value in named if not any(c.isspace() for c in value)]
+    out, at = dict(named), 0
     for match in _CANDIDATE.finditer(text):
         run, start = match.group().rstrip(".:=-"), match.start()
         inner = _INNER.match(run)
-        named = inner is None and _NAME.search(text, max(0, start - 60), start)
         if inner and not run.startswith(("http:", "https:")):
             start, run = start + inner.start("value"), inner.group("value")
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if at < len(taken) and taken[at][0] < start + len(run):
+            continue
         digit = any("0" <= c <= "9" for c in run)
-        if inner or named or (digit and len(run) >= 10) or len(run) >= 24:
-            out.append((start, run))
-    return out
+        if inner or (digit and len(run) >= 10) or len(run) >= 24:
+            out.setdefault(start, run)
+    return sorted(out.items())
 
 
 def certain_label(value: str, before: str) -> int | None:
@@ -140,6 +175,7 @@ def features(value: str, before: str, after: str, path: str, lexicon: Lexicon) -
         float(before[-1:] in "\"'" and before != ""), float(after[:1] in "\"'" and after != ""), float(last),
         float(any(n in path for n in ("test", "example", "sample", "doc"))),
         float(any(n in path for n in ("env", "conf", "secret", "deploy"))), xxhash.xxh32_intdigest(path) % 8,
+        float(bool(_NAME.search(before))), float(any(c.isdigit() for c in value) and any(c.isalpha() for c in value)),
     ]
 
 
@@ -189,9 +225,33 @@ def findings(
     )
 
 
-def train(labelled: DataFrame, lexicon: Lexicon, per_label: int = PER_LABEL) -> random_forest.RandomForest | None:
+def invented(rows: list[tuple], lexicon: Lexicon, seed: int = 3) -> list[tuple]:
+    """For each secret among ``rows`` drawn values and plain words, assigned in drawn forms at its place.
+
+    A corpus shows few forms of secrets and of assignments; how one is written
+    must not tell the forest that it is none.
+    """
+    rng, plain, out = np.random.default_rng(seed), sorted(lexicon.words) or ["none"], []
+    secret = [r for r in rows if r[4] == 1]
+    for _, before, after, path, _ in secret * max(1, LEAST // len(secret)):
+        word, other = (plain[int(n)] for n in rng.integers(0, len(plain), 2))
+        mixed = other + str(rng.integers(0, 1000))
+        if rng.random() < 0.6:
+            kinds = DRAWN if rng.random() < 0.6 else DRAWN[26:62]
+            mixed = "".join(rng.choice(list(kinds), int(rng.integers(4, 31)))) + str(rng.choice(list("abcdefghkm"))) + str(rng.integers(0, 10))
+        for value, sign in ((mixed, 1), (word, 0)):
+            quote = str(rng.choice(["", "", '"', "'"]))
+            assigned = str(rng.choice(SECRET_NAMES)) + str(rng.choice(["=", ": ", " = ", ":", '": ', "': ", " is "])) + quote
+            out.append((value, (before[:30] + " " + assigned)[-60:], (quote + after)[:20], path, sign))
+    return out
+
+
+def train(
+    labelled: DataFrame, lexicon: Lexicon, per_label: int = PER_LABEL, more: bool = False
+) -> random_forest.RandomForest | None:
     """A forest from at most ``per_label`` findings of each label, chosen by a
-    hash of value and context; None unless both labels occur."""
+    hash of value and context, and with ``more`` from ``invented`` ones beside
+    them; None unless both labels occur."""
     key = F.concat_ws("|", "value", "before", F.col("start").cast("string"))
     rows = []
     for label in (0, 1):
@@ -200,8 +260,10 @@ def train(labelled: DataFrame, lexicon: Lexicon, per_label: int = PER_LABEL) ->
     y = np.array([r["label"] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return None
-    x = np.array([features(r["value"], r["before"], r["after"], r["path"], lexicon) for r in rows])
-    return random_forest.grow(x, y)
+    if more:
+        rows += invented(rows, lexicon)
+    x = np.array([features(*r[:4], lexicon) for r in rows])
+    return random_forest.grow(x, np.array([r[4] for r in rows], float))
 
 
 def scanned(
@@ -219,7 +281,7 @@ def scanned(
     """
     found = written(findings(docs, id_col, text_col, path_col), "findings")
     lexicon = lexicon_of(docs, text_col)
-    forest = train(found if labelled is None else labelled, lexicon)
+    forest = train(found if labelled is None else labelled, lexicon, more=labelled is None)
     shared = docs.sparkSession.sparkContext.broadcast((lexicon, forest))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

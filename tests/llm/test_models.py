@@ -166,6 +166,27 @@ def test_secrets_are_found_and_addresses_are_not(workers, sf_dir, edge, nothing)
     assert secrets.scanned(edge).columns[:3] == ["doc_id", "path", "start"]
 
 
+FORMS = {
+    "log in with password=abc$9Qz!kk12 now": "abc$9Qz!kk12", "set password: S3cr#t!Pw%9zQ here": "S3cr#t!Pw%9zQ",
+    "DB_PASSWORD=p@$$w0rd!#2024x": "p@$$w0rd!#2024x", '{"user": "x", "password": "hunter22", "n": 1}': "hunter22",
+    "{'api_key': 'ab12', 'n': 1}": "ab12", 'password: "correct horse 9!" x': "correct horse 9!", "(token=(a1%b2)).": "(a1%b2)",
+    r'"{\"pwd\": \"k9!x\"}"': "k9!x",
+}
+
+
+@pytest.mark.parametrize("text", FORMS)
+def test_what_a_secret_name_is_given_is_a_candidate_whole(text):
+    assert (text.index(FORMS[text]), FORMS[text]) in secrets.candidates(text)
+
+
+def test_assigned_secrets_of_any_form_are_found_and_words_are_not(workers, sf_dir):
+    docs = workers.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
+    texts = [*list(FORMS)[:4], "my token is the one", "author: Smith wrote it", "the password is incorrect"]
+    planted = workers.createDataFrame([(900001 + n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    found = secrets.scanned(docs.unionByName(planted)).filter("doc_id > 900000 AND is_secret").collect()
+    assert {r.value for r in found} == set(list(FORMS.values())[:4])
+
+
 def test_minimum_cut_equals_all_labellings():
     rng = np.random.default_rng(8)
     for _ in range(60):
