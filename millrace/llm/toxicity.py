@@ -1,9 +1,9 @@
 """Toxicity of whole texts: the most toxic of their overlapping windows.
 
 A label says that a text is toxic, not where. Training therefore alternates:
-the current network picks the most suspicious window of each text, and these
-windows are learnt with the text's label, together with random windows of clean
-texts. A logistic curve over the greatest window logit gives the score.
+the current network scores all windows of each text and picks a suspicious one,
+and these windows are learnt with the text's label, together with random windows
+of clean texts, until the loss of whole texts no longer falls. A logistic curve over the greatest window logit gives the score.
 """
 
 from __future__ import annotations
@@ -20,7 +20,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from millrace.llm import gru
 from millrace.llm.labelled import held_out, labelled_texts
 
-ROUNDS, STEP, CANDIDATES = 6, 96, 6
+#: Texts per update, updates between two searches of all windows, rounds without gain that end
+#: training, the loss of whole texts that is low enough, and the share of it that counts as a gain.
+STEP, UPDATES, PATIENCE, ENOUGH, GAIN = 96, 32, 3, 0.02, 0.02
 #: Labelled documents per label value that training may see.
 PER_LABEL = 1200
 #: What the score needs to be reported as toxic.
@@ -69,11 +71,11 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> ToxicityModel
     rng = trainer.rng
     balance = np.where(target == 1, (target == 0).sum() / max(1, (target == 1).sum()), 1.0)
     clean_docs = np.flatnonzero(target == 0)
-    steps = max(len(docs) // STEP, 16) * 2
-    for number in range(ROUNDS):
-        picked = _picked(trainer.p, docs, number, rng)
-        trainer.rate = 0.01 * (1 - number / ROUNDS) + 0.001
-        for _ in range(steps):
+    picked = np.array([int(rng.choice(gru.windows(len(d)))) for d in docs])
+    best, kept, idle, number = np.inf, None, 0, 0
+    while kept is None or (idle < PATIENCE and best > ENOUGH):
+        trainer.rate = 0.01 / (1 + number / 4) + 0.001
+        for _ in range(UPDATES):
             some = rng.integers(0, len(docs), STEP)
             more = [docs[n] for n in rng.choice(clean_docs, STEP // 4)]
             odd = [_repeating(docs[n], rng) for n in rng.choice(clean_docs, STEP // 5)]
@@ -83,8 +85,14 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> ToxicityModel
                 np.concatenate([target[some], np.zeros(len(free) + len(odd))]),
                 np.concatenate([balance[some], np.full(len(free) + len(odd), 1.0)]),
             )
-    top = greatest(gru.Scorer(trainer.p), [b" ".join(d) for d in docs])
-    return ToxicityModel(trainer.p, *_curve(top, target, balance))
+        picked, top = _picked(trainer.p, docs, target, rng)
+        loss = float((balance * np.logaddexp(0, np.where(target == 1, -top, top))).sum() / balance.sum())
+        idle = 0 if loss < best * (1 - GAIN) else idle + 1
+        if loss < best:
+            best, kept = loss, ({k: v.copy() for k, v in trainer.p.items()}, top)
+        number += 1
+    params, top = kept
+    return ToxicityModel(params, *_curve(top, target, balance))
 
 
 def _repeating(words: list[bytes], rng: np.random.Generator) -> list[bytes]:
@@ -94,16 +102,26 @@ def _repeating(words: list[bytes], rng: np.random.Generator) -> list[bytes]:
     return [w for w in some for _ in range(times)][: gru.WIDTH]
 
 
-def _picked(p: gru.Params, docs: tuple[list[bytes], ...], number: int, rng: np.random.Generator) -> np.ndarray:
-    """Start of the window to learn of each text: any in the first round, later
-    the most suspicious of up to ``CANDIDATES`` windows."""
-    starts = [rng.permutation(gru.windows(len(d)))[: CANDIDATES if number else 1] for d in docs]
-    if number == 0:
-        return np.array([s[0] for s in starts])
-    parts = [docs[n][s : s + gru.WIDTH] for n, some in enumerate(starts) for s in some]
-    logits, _ = gru.Scorer(p).window_logits(parts)
-    ends = np.cumsum([len(s) for s in starts])
-    return np.array([s[np.argmax(logits[e - len(s) : e])] for s, e in zip(starts, ends, strict=True)])
+def _picked(
+    p: gru.Params, docs: tuple[list[bytes], ...], target: np.ndarray, rng: np.random.Generator
+) -> tuple[np.ndarray, np.ndarray]:
+    """Start of the window to learn of each text, and the greatest logit of all its windows.
+
+    Of a clean text it is the most suspicious window. Of a toxic one each window
+    is drawn with the odds its logit gives it, for the greatest alone would fix
+    an early mistake.
+    """
+    scorer, starts, top = gru.Scorer(p), [], []
+    for at in range(0, len(docs), ROWS):
+        part = docs[at : at + ROWS]
+        logits, owner = scorer.window_logits(list(part))
+        ends = np.searchsorted(owner, np.arange(len(part) + 1))
+        for n, words in enumerate(part):
+            own = logits[ends[n] : ends[n + 1]]
+            drawn = own + rng.gumbel(size=len(own)) if target[at + n] == 1 else own
+            starts.append(int(gru.windows(len(words))[np.argmax(drawn)]))
+            top.append(float(own.max()))
+    return np.array(starts), np.array(top)
 
 
 def _curve(top: np.ndarray, target: np.ndarray, balance: np.ndarray) -> tuple[float, float]:

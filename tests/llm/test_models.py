@@ -69,6 +69,18 @@ def test_toxicity_learns_where_labels_only_say_whether():
     assert np.array_equal(again.scores(gru.Scorer(again.params), texts[400:]), scores)
 
 
+def test_training_searches_every_window_of_a_long_text():
+    rng = np.random.default_rng(3)
+    texts = [toxicity.words_of(invented(rng, False, n)) for n in (3000, 20, 64, 5000)]
+    p = gru.initial(3)
+    starts, top = toxicity._picked(p, tuple(texts), np.zeros(4), rng)
+    for words, start, most in zip(texts, starts, top, strict=True):
+        logits, _ = gru.Scorer(p).window_logits([words])
+        assert start == gru.windows(len(words))[np.argmax(logits)] and abs(most - logits.max()) < 1e-5
+    drawn = {int(toxicity._picked(p, tuple(texts[:1]), np.ones(1), rng)[0][0]) for _ in range(60)}
+    assert len(drawn) > 12 and drawn <= set(gru.windows(3000).tolist())
+
+
 def test_toxicity_of_edge_rows(edge, nothing, workers):
     labels = workers.createDataFrame([(1, 1, 0), (5, 0, 1), (8, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
     got = toxicity.judged(edge, labels).collect()
