@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, html_text, jaccard, mixing, quality, secrets, sharding, token_counts, toxicity
+from millrace.llm import (
+    alignment, bpe, embedding_dedup, exact_dedup, html_text, importance, jaccard, mixing, quality, secrets, sharding,
+    token_counts, toxicity,
+)
 from millrace.session import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +27,11 @@ def query(fn: Query) -> Query:
     return run
 
 
-def vocabulary_path() -> str:
-    """The tokenizer file that the contract names."""
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A tokenizer file that the contracts name."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +98,22 @@ def op10_jaccard_join(spark, sf_dir):
     return jaccard.linked_documents(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+@query
+def op11_alignment(spark, sf_dir):
+    return alignment.aligned(table(spark, sf_dir, "documents"), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
+
+
+@query
+def op12_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+@query
+def op13_importance_resampling(spark, sf_dir):
+    drawn = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query
 def pipeline(spark, sf_dir):
     """Toxicity, exact dedup, Jaccard join, mixing and BPE, one after the other."""

@@ -14,9 +14,9 @@ from millrace.llm.oracle import ORACLES
 from millrace.llm.queries import QUERIES
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(QUERIES)
 
 
@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op3_secret_scan", "pipeline"}))
 def test_one_row_per_document(spark, sf_dir, name):
-    source, key = ("pages", "page_id") if name.startswith("op7") else ("documents", "doc_id")
+    source, key = ("pages", "page_id") if name.startswith("op7_") else ("documents", "doc_id")
     want = Counter(r[0] for r in spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key).collect())
     assert Counter(r[0] for r in QUERIES[name](spark, sf_dir).select(key).collect()) == want
 
