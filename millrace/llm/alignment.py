@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.bpe import byte_symbols
+from millrace.llm.bpe import PRE_TOKEN, byte_symbols
 from millrace.llm.csr import Csr, product
 from millrace.session import written
 
@@ -34,6 +34,9 @@ PART = LOT = 1 << 18
 SENT_PAIRS = 1 << 20
 _BITS = 20
 _WORDS = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Runs of blanks at which the faster encoder's pattern would run out of stack.
+_BLANKS = 4096
+_BLANK_RUN = re.compile(r"\s{%d}" % _BLANKS)
 
 
 class Tokenizers:
@@ -41,6 +44,7 @@ class Tokenizers:
 
     def __init__(self, a_spec: str, b_model: bytes) -> None:
         import sentencepiece
+        import tiktoken
         import tokenizers
 
         self.a = tokenizers.Tokenizer.from_str(a_spec)
@@ -59,6 +63,10 @@ class Tokenizers:
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        # The same vocabulary as ranks, for an encoder that keeps only ids.
+        special = set(self.a.get_added_tokens_decoder())
+        ranks = {x: i for i, x in enumerate(self.a_bytes) if i not in special and x}
+        self.fast = tiktoken.Encoding("a", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
         if max(len(self.a_bytes), len(self.b_bytes)) >> _BITS:
@@ -78,11 +86,14 @@ class Tokenizers:
 
     def encode(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both tokenizers for each part; None where they don't give its bytes."""
-        spaced = [" " + p for p in parts]
-        for raw, a, b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode(parts, num_threads=1)):
-            want, ids = raw.encode(), a.ids
-            if b"".join(map(self.a_bytes.__getitem__, ids)) == want == b"".join(map(self.b_bytes.__getitem__, b)):
-                yield np.array(ids, np.int64), np.array(b, np.int64)
+        for part, b in zip(parts, self.b.encode(parts, num_threads=1)):
+            raw = " " + part
+            if len(raw) >= _BLANKS and _BLANK_RUN.search(raw):
+                a = self.a.encode(raw, add_special_tokens=False).ids
+            else:
+                a = self.fast(raw)
+            if b"".join(map(self.a_bytes.__getitem__, a)) == raw.encode() == b"".join(map(self.b_bytes.__getitem__, b)):
+                yield np.array(a, np.int64), np.array(b, np.int64)
             else:
                 yield None
 

@@ -153,3 +153,10 @@ def test_odd_rows(edge, nothing):
     assert got[2].n_a == got[3].n_links == got[2].count_sum == 0 and got[3].groups_sha256 == ""
     assert got[5].n_a > 20000 and got[5].n_links >= got[5].n_groups
     assert alignment.aligned(nothing, A, B).count() == 0
+
+
+def test_long_runs_of_blanks(libraries):
+    both = alignment.tokenizers_of(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    for text in ("\n" * 6000 + "end", "x" + "\t" * 5000 + "y", "no blanks" * 900):
+        (got,) = both.encode([text])
+        assert got is None or got[0].tolist() == libraries[0].encode(" " + text, add_special_tokens=False).ids
