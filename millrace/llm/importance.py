@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.crc import joined
 from millrace.llm.rows import ranked
+from millrace.session import written
 
 BUCKETS = 10_000
 RUN = 3
@@ -215,7 +216,8 @@ def resampled(
     """
     raw, enough = bucket_counts(docs, text_col, least_words)
     wanted, _ = bucket_counts(target, target_text, least_words)
-    rows = scored(docs, gains(raw, wanted), id_col, text_col).withColumn("score", F.col("weight") + luck(id_col, seed))
+    weighed = written(scored(docs, gains(raw, wanted), id_col, text_col), "weights")  # to rank is to read twice
+    rows = weighed.withColumn("score", F.col("weight") + luck(id_col, seed))
     order = [(F.col("n_words") < least_words).asc(), F.col("score").desc(), F.col(id_col).asc_nulls_last()]
     drawn = F.col("_rank") < percent * enough // 100
     return ranked(rows, [], order, "_rank").select(
