@@ -12,11 +12,12 @@ from millrace.functions import outcomes, text
 from millrace.operators import (
     calendar, distribution, facts, history, ledger, metrics, profiling, quality, upsert,
 )
-from millrace.plans import silver
+from millrace.plans import gold, silver
 from millrace.plans import standins as S
+from millrace.plans.lake import Lake
 from millrace.session import scratch_path, written
-from millrace.sources import drops, files, sinks
-from millrace.sources.layouts import Field, Layout
+from millrace.sources import drops, files, sinks, versions
+from millrace.sources.layouts import SNAPSHOT_LAYOUT, STAFFING_LAYOUT, Field, Layout
 from millrace.streaming import drops as streams
 
 TABLES = [
@@ -682,6 +683,72 @@ def interrupted_refresh(spark, sf_dir):
     return sinks.read_table(spark, path, "file_id string, file_name string, modified_at string, md5hash string")
 
 
+@query
+def versioned_table(spark, sf_dir):
+    """A table replaced whole, then some of its partitions from itself, then added to."""
+    table = versions.VersionedTable(spark, scratch_path(spark, "versioned"), "snapshot_date_key")
+    early = F.col("snapshot_date_key") % 10000 <= 601
+    snapshots = S.snapshots(spark, sf_dir)
+    table.replace(snapshots.where("provnum <> '1'"), "provnum")
+    more = (F.coalesce("certified_beds", F.lit(0)) + 1).cast("smallint")
+    table.republish(table.read().where(early).withColumn("certified_beds", more), "provnum")
+    table.append(snapshots.where("provnum = '1'"), "provnum")
+    return table.read()
+
+
+# When the files of the stand-in drops were modified.
+SENT, SENT_AGAIN = 1_717_200_000_000, 1_717_300_000_000
+DIMENSION = ["provider_key", "provnum", "month_key", "effective_from", "effective_to", "is_current", *ATTRIBUTES]
+
+
+@query
+def changed_files(spark, sf_dir):
+    """A stream over a drop in which files are sent again: two with other rows, one mended."""
+    lake, drop, checkpoint = Lake(spark, scratch_path(spark, "lake")), scratch_path(spark, "drop"), scratch_path(spark, "offsets")
+    rows, part = S.staffing_files(spark, sf_dir), F.pmod(F.col("provnum").cast("long"), F.lit(4))
+    first = rows.where((part < 2) | (part == 3)).withColumns({
+        "hrs_rn": F.when(part < 2, F.col("hrs_rn") + 1).otherwise(F.col("hrs_rn")).cast("string"),
+        "state": F.when(part == 3, "too long"),
+    })
+    S.send_files(first, STAFFING_LAYOUT, drop, SENT)
+    streams.ingest_new_files(lake, drop, checkpoint, gold=False)
+    S.send_files(rows, STAFFING_LAYOUT, drop, SENT_AGAIN)
+    streams.ingest_new_files(lake, drop, checkpoint, files_per_batch=3, gold=False)
+    return lake.staffing.select("provnum", "workdate", "mdscensus", "hrs_rn", "hrs_lpn", "hrs_cna")
+
+
+@query
+def gold_refresh(spark, sf_dir):
+    """A drop to silver to gold; in a first refresh the dimension can't be written."""
+    lake, drop = Lake(spark, scratch_path(spark, "lake")), scratch_path(spark, "drop")
+    S.send_files(S.staffing_files(spark, sf_dir), STAFFING_LAYOUT, drop, SENT)
+    S.send_files(S.snapshot_files(spark, sf_dir), SNAPSHOT_LAYOUT, drop, SENT)
+    silver.ingest(lake, files.fingerprint_files(spark, drop))
+    fs, at = sinks.file_system(spark, lake.path(gold.PROVIDERS))
+    fs.create(at(lake.path(gold.PROVIDERS)), True).close()  # a file where the folder should be
+    stopped = gold.refresh_gold(lake)
+    fs.delete(at(lake.path(gold.PROVIDERS)), False)
+    done = gold.refresh_gold(lake)
+    refused = lake.rejects.where("error_type = 'DIM_PROVIDER_REFRESH_FAILED'").count()
+    return lake.table(gold.DAILY).drop("_refreshed_at").withColumns({
+        "first_dimension": F.lit(stopped["dim_provider"]), "first_fact": F.lit(stopped["fact_daily_staffing"]),
+        "then_fact": F.lit(done["fact_daily_staffing"]), "dimension_rejects": F.lit(refused).cast("long"),
+    })
+
+
+@query
+def touched_dimension(spark, sf_dir):
+    """Snapshots arriving in two waves as a stream; the second rebuilds only the providers it names."""
+    lake, drop, checkpoint = Lake(spark, scratch_path(spark, "lake")), scratch_path(spark, "drop"), scratch_path(spark, "offsets")
+    rows = S.snapshot_files(spark, sf_dir)
+    recent = F.col("snapshot_date_key") >= 19980000
+    S.send_files(rows.where(~recent), SNAPSHOT_LAYOUT, drop, SENT)
+    streams.ingest_new_files(lake, drop, checkpoint)
+    S.send_files(rows.where(recent), SNAPSHOT_LAYOUT, drop, SENT_AGAIN)
+    streams.ingest_new_files(lake, drop, checkpoint)
+    return lake.table(gold.PROVIDERS).select(DIMENSION)
+
+
 @query
 def inferred_load(spark, sf_dir):
     """Tables written as one CSV folder each, loaded with inferred types and profiled."""

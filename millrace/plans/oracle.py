@@ -314,6 +314,17 @@ _BODIES = {
                AS md5hash FROM documents""",
     "full_refresh": """
         SELECT * REPLACE (CAST(coalesce(certified_beds, 0) + 1 AS SMALLINT) AS certified_beds) FROM v_snapshot""",
+    "versioned_table": """
+        SELECT * REPLACE (CAST(CASE WHEN snapshot_date_key % 10000 <= 601 AND provnum <> '1' THEN coalesce(certified_beds, 0) + 1
+                               ELSE certified_beds END AS SMALLINT) AS certified_beds) FROM v_snapshot""",
+    "changed_files": "SELECT provnum, workdate, mdscensus, hrs_rn, hrs_lpn, hrs_cna FROM v_staffing",
+    "gold_refresh": """
+        SELECT coalesce(provider_key, -1) AS provider_key, f.*, 'failed' AS first_dimension, 'skipped' AS first_fact,
+               'refreshed' AS then_fact, 1::BIGINT AS dimension_rejects
+        FROM v_fact f LEFT JOIN v_keys d ON d.provnum = f.provnum AND d.month_key = f.month_key""",
+    "touched_dimension": """
+        SELECT * REPLACE (left(state, 2) AS state) FROM v_dim UNION ALL
+        SELECT -1, 'UNKNOWN', 0, 0, NULL, true, 'Unknown', NULL, NULL, NULL, NULL, NULL""",
     "interrupted_refresh": "SELECT file_id, file_name, modified_at, md5hash FROM v_files",
     "replayed_merge": """
         SELECT *, CAST(workdate // 100 AS INTEGER) AS month_key FROM (

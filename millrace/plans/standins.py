@@ -7,11 +7,15 @@ derived rows; no query runs on a sample.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import day_key_of, month_key
 from millrace.operators.upsert import latest_per_key
+from millrace.sources.layouts import Layout
+from millrace.sources.sinks import file_system
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +156,44 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def send_files(rows: DataFrame, layout: Layout, folder: str, modified_ms: int) -> None:
+    """Write the rows as feed files named by their column ``file_name``.
+
+    Columns stand at their places in the layout, others are blank. Sending a
+    name again replaces the file. All files get the modified time given.
+    """
+    spark, beside = rows.sparkSession, f"{folder}.{uuid.uuid4().hex}"
+    blank = F.lit(None).cast("string")
+    texts = [(F.col(f.name).cast("string") if f.name in rows.columns else blank).alias(f.name) for f in layout.fields]
+    rows.select(*texts, "file_name").repartition("file_name").write.partitionBy("file_name").options(
+        header=True, escape='"', emptyValue="").csv(beside)
+    fs, at = file_system(spark, folder)
+    fs.mkdirs(at(folder))
+    for named in fs.listStatus(at(beside)):
+        name = named.getPath().getName().removeprefix("file_name=")
+        if named.isDirectory():
+            target = at(f"{folder}/{name}")
+            fs.delete(target, False)
+            parts = [f for f in fs.listStatus(named.getPath()) if f.getPath().getName().startswith("part-")]
+            if len(parts) != 1 or not fs.rename(parts[0].getPath(), target):
+                raise OSError(f"{name} was not written as one file")
+            fs.setTimes(target, modified_ms, -1)
+    fs.delete(at(beside), True)
+
+
+def staffing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All staffing rows, dealt to four feed files by provider."""
+    part = F.pmod(F.col("provnum").cast("long"), F.lit(4)).cast("string")
+    return staffing(spark, sf_dir).withColumn("file_name", F.concat(F.lit("PBJ_Daily_Nurse_Staffing_part"), part, F.lit(".csv")))
+
+
+def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All snapshots with two-letter states, one feed file per month."""
+    month = F.to_date(F.col("snapshot_date_key").cast("string"), "yyyyMMdd")
+    short = snapshots(spark, sf_dir).withColumn("state", F.substring("state", 1, 2))
+    return short.withColumn("file_name", F.concat(F.lit("NH_ProviderInfo_"), F.date_format(month, "MMMyyyy"), F.lit(".csv")))
+
+
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One step status per event."""
     e = F.col("event_id")
@@ -197,5 +239,5 @@ def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = [
     "error_texts", "incoming", "jobs", "ledger", "manifest", "quality_snapshots", "raw_texts", "snapshots",
-    "staffing", "staffing_raw", "stored", "table",
+    "send_files", "snapshot_files", "staffing", "staffing_files", "staffing_raw", "stored", "table",
 ]
