@@ -15,6 +15,7 @@ from millrace.operators import (
 from millrace.plans import gold, silver
 from millrace.plans import standins as S
 from millrace.plans.lake import Lake
+from millrace.plans.report import Report
 from millrace.session import scratch_path, written
 from millrace.sources import drops, files, sinks, versions
 from millrace.sources.layouts import SNAPSHOT_LAYOUT, STAFFING_LAYOUT, Field, Layout
@@ -775,6 +776,22 @@ def replayed_merge(spark, sf_dir):
     return spark.read.schema(schema).parquet(table)
 
 
+@query
+def stored_report(spark, sf_dir):
+    """A second report of a month range reads what the first one stored in the lake."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.stored(gold.DAILY, "month_key").replace(_measures(spark, sf_dir), "provnum")
+    dim = S.snapshots(spark, sf_dir).withColumn("month_key", K.month_key("snapshot_date_key"))
+    blank = {c: F.lit(None).cast("string") for c in metrics.ATTRIBUTES if c not in dim.columns}
+    lake.stored(gold.PROVIDERS).replace(dim.withColumns(blank), "provnum")
+    with Report(lake, START, END) as first:
+        first.all_facilities.count()
+    with Report(lake, START, END) as second:
+        if any(gold.DAILY in f for f in second.all_facilities.inputFiles()):
+            raise AssertionError("the stored result was not read")
+        return second.all_facilities.drop(*blank)
+
+
 @query
 def report_reuse(spark, sf_dir):
     """One stored report frame read for its thresholds, its headline and its states."""

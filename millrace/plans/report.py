@@ -1,7 +1,8 @@
-"""The report over gold: one cached facility frame feeds every view."""
+"""The report over gold: one stored facility frame feeds every view."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -10,21 +11,37 @@ from pyspark.sql import functions as F
 from millrace.operators import distribution, history, metrics
 from millrace.plans.gold import DAILY, PROVIDERS
 from millrace.plans.lake import Lake
+from millrace.sources.sinks import file_system
+
+
+#: Fixed value: minutes after which a stored result is computed anew.
+MINUTES = 30
+RESULTS = "report"
 
 
 class Report:
     """Report frames for a month range and a choice of filters.
 
-    The facility frame is computed once and cached; it has one row per
-    facility. Call ``close`` when done, or use as a context manager.
+    The frames behind every view, one row per facility and one per month,
+    state and ownership, are computed once and stored in the lake under the
+    versions of the tables they come from and the month range. Another report
+    of the range reads them for ``minutes``; a refresh makes new versions, so
+    its results are never served from before it. Filters apply to the stored
+    frames. Call ``close`` when done, or use as a context manager.
     """
 
-    def __init__(self, lake: Lake, start: int, end: int, **choice) -> None:
-        self._facts = metrics.in_months(lake.table(DAILY), start, end)
+    def __init__(self, lake: Lake, start: int, end: int, minutes: float = MINUTES, **choice) -> None:
+        self._lake, self._minutes, self._choice = lake, minutes, choice
+        tables = {name: lake.stored(name) for name in (DAILY, PROVIDERS)}
+        found = {name: table.newest() for name, table in tables.items()}
+        if missing := [name for name, version in found.items() if version is None]:
+            raise FileNotFoundError(f"not refreshed yet: {', '.join(missing)}")
+        self._state = "-".join(str(v.number) for v in found.values())
+        self._range = f"{start}-{end}"
+        self._facts = metrics.in_months(tables[DAILY].at(found[DAILY]), start, end)
         self._attributes = history.latest_attributes(
-            lake.table(PROVIDERS), "provnum", metrics.ATTRIBUTES
+            tables[PROVIDERS].at(found[PROVIDERS]), "provnum", metrics.ATTRIBUTES
         )
-        self._choice = choice
 
     def __enter__(self) -> Report:
         return self
@@ -33,11 +50,30 @@ class Report:
         self.close()
 
     def close(self) -> None:
-        self.all_facilities.unpersist()
+        if "all_facilities" in self.__dict__:
+            self.all_facilities.unpersist()
+
+    def _stored(self, name: str, result: Callable[[], DataFrame]) -> DataFrame:
+        """The stored frame, computed if there is none that is young enough."""
+        table = self._lake.stored(f"{RESULTS}/{self._state}/{self._range}/{name}")
+        age = table.age()
+        if age is None or age >= 60 * self._minutes:
+            if age is None:
+                self._drop_older()
+            table.replace(result())
+        return table.read()
+
+    def _drop_older(self) -> None:
+        """Remove results of table versions that are not current any more."""
+        fs, at = file_system(self._lake.spark, self._lake.path(RESULTS))
+        folder = at(self._lake.path(RESULTS))
+        for state in fs.listStatus(folder) if fs.exists(folder) else []:
+            if state.getPath().getName() != self._state:
+                fs.delete(state.getPath(), True)
 
     @cached_property
     def all_facilities(self) -> DataFrame:
-        return metrics.facility_metrics(self._facts, self._attributes).persist()
+        return self._stored("facilities", lambda: metrics.facility_metrics(self._facts, self._attributes)).persist()
 
     @property
     def facilities(self) -> DataFrame:
@@ -70,7 +106,8 @@ class Report:
 
     def trend(self) -> DataFrame:
         chosen = {k: v for k, v in self._choice.items() if k in ("states", "ownerships")}
-        return metrics.system_trend(metrics.monthly_trend(self._facts, self._attributes), **chosen)
+        months = self._stored("months", lambda: metrics.monthly_trend(self._facts, self._attributes))
+        return metrics.system_trend(months, **chosen)
 
     def thresholds(self) -> DataFrame:
         return distribution.thresholds(self.facilities)

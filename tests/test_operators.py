@@ -213,6 +213,21 @@ def test_quantile_is_exact_when_the_bracket_misses(spark, monkeypatch):
     assert distribution.quantiles(df, {"x": 0.25})["x"] == 249.75
 
 
+def test_two_quantiles_take_three_jobs(spark):
+    rng = np.random.default_rng(4)
+    values = list(zip(rng.lognormal(0, 1, 20_000).tolist(), rng.random(20_000).tolist()))
+    df = spark.createDataFrame(values, "x double, y double").repartition(5).cache()
+    df.count()
+    tracker, group = spark.sparkContext.statusTracker(), "two quantiles"
+    spark.sparkContext.setJobGroup(group, group)
+    got = distribution.quantiles(df, {"x": 0.1, "y": 0.9})
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("others", "others")
+    assert got["x"] == pytest.approx(float(np.quantile([v for v, _ in values], 0.1)), rel=1e-12)
+    assert got["y"] == pytest.approx(float(np.quantile([v for _, v in values], 0.9)), rel=1e-12)
+    assert jobs <= 6, "an aggregation is two jobs with adaptive execution, a counting pass runs once for all columns"
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0)], "x double, y double")
     assert distribution.quantiles(df, {"x": 0.5, "y": 0.5}) == {"x": None, "y": 1.0}
