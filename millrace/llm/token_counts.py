@@ -47,23 +47,35 @@ class Counter:
     """Counts tokens of pre-tokens and remembers the last ones."""
 
     def __init__(self, vocab: Vocabulary) -> None:
-        self.vocab, self.known = vocab, {}
+        self.vocab = vocab
         self.pattern = whole_pattern(list(vocab.special))
         #: A boundary is safe when no edit comes within this many characters of it.
         self.reach = max(map(len, vocab.special), default=0) + 3
+        self.tokens: Callable[[str], int] = _Known(vocab).__getitem__
 
-    def tokens(self, piece: str) -> int:
-        count = self.known.get(piece)
-        if count is None:
-            count = 1 if piece in self.vocab.special else len(self.vocab.encode_piece(piece))
-            if len(piece) <= 64:
-                if len(self.known) >= CACHED_PIECES:
-                    self.known.clear()
-                self.known[piece] = count
-        return count
+    def cut(self, text: str) -> list[str]:
+        """Pre-tokens and added tokens of a whole text; without added tokens a pattern that need not look ahead."""
+        if any(s in text for s in self.vocab.special):
+            return self.pattern.findall(text)
+        return self.vocab.pieces(text)
 
     def total(self, text: str) -> int:
-        return sum(map(self.tokens, self.pattern.findall(text)))
+        return sum(map(self.tokens, self.cut(text)))
+
+
+class _Known(dict):
+    """Tokens of each pre-token, emptied when full. Long ones are not kept."""
+
+    def __init__(self, vocab: Vocabulary) -> None:
+        self.vocab = vocab
+
+    def __missing__(self, piece: str) -> int:
+        count = 1 if piece in self.vocab.special else len(self.vocab.encode_piece(piece))
+        if len(piece) <= 64:
+            if len(self) >= CACHED_PIECES:
+                self.clear()
+            self[piece] = count
+        return count
 
 
 class TokenTree:
@@ -74,7 +86,8 @@ class TokenTree:
 
     def __init__(self, text: str, counter: Counter) -> None:
         self.text, self.counter, self.encoded = text, counter, 0
-        self._build([(len(p), counter.tokens(p)) for p in counter.pattern.findall(text)])
+        pieces = counter.cut(text)
+        self._build(list(zip(map(len, pieces), map(counter.tokens, pieces))))
         self.encoded = sum(map(len, self.leaves))
 
     def _build(self, pieces: list[tuple[int, int]]) -> None:
@@ -198,7 +211,7 @@ def edited_counts(
     def measure(text: str, counter: Counter) -> tuple[int, ...]:
         changes = edits(text)
         if not changes:
-            pieces = counter.pattern.findall(text)
+            pieces = counter.cut(text)
             total = sum(map(counter.tokens, pieces))
             return len(pieces), total, 0, 0, total
         tree = TokenTree(text, counter)
