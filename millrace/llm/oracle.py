@@ -37,8 +37,8 @@ SELECT doc_id, size, source_size, target,
        (floor(place * expected + start) - floor((place - 1) * expected + start))::BIGINT * size AS taken FROM e""",
     "op12_embedding_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x <> 0)) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
       AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
 r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
