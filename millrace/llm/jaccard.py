@@ -10,9 +10,11 @@
    give first components. This is repeated a few times among documents of
    different components, with other partners, so that groups of many copies
    grow together before any block is searched whole.
-3. Blocks that still hold several components are searched with an R-tree over
-   the count vectors for pairs between different components; the survivors are
-   verified too. Pairs inside one component can add nothing and are left out.
+3. Sets that open blocks (those that still hold several components) connect
+   travel to one place, or block by block where there are too many. There an
+   R-tree over the count vectors proposes pairs of different components, exact
+   sets verify them, and only links that join two components leave the task:
+   fewer than the sets that came in, however many pairs link.
 
 No link is lost: a linked pair shares a block, and there it is in one component
 after step 2 or is found in step 3.
@@ -36,14 +38,14 @@ from millrace.llm.rows import attach
 from millrace.session import written
 
 GROUPS = 128
-FULL = (1 << 16) - 1
 CLASS_RATIO = 1.4
 #: Documents of a size class that may need keys for empty groups, at most.
 RARE = 1e-5
 HOT_SHARE, HOT_LEAST, SAMPLE = 200_000, 100, 16
-TILE = 4096
+#: Sets and shingles of a tile, two of which a task holds at a time.
+TILE, TILE_SHINGLES = 4096, 1 << 22
 PER_LEADER = 512
-ROUNDS = 4
+ROUNDS = 2
 CACHED_WORDS = 1 << 18
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -145,18 +147,19 @@ def block_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def count_vector(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles fall in each hash group."""
+    return np.bincount(shingles >> np.uint64(64 - GROUPS.bit_length() + 1), minlength=GROUPS)
+
+
 def group_counts(shingles: np.ndarray) -> bytes:
-    """How many shingles fall in each hash group, two bytes a group; beyond
-    65,535 a group counts as full."""
-    counts = np.bincount(shingles >> np.uint64(64 - GROUPS.bit_length() + 1), minlength=GROUPS)
-    return np.minimum(counts, FULL).astype("<u2").tobytes()
+    """The count vector in as many bytes a group as its greatest count needs."""
+    counts = count_vector(shingles)
+    return counts.astype(np.min_scalar_type(counts.max()).newbyteorder("<")).tobytes()
 
 
 def _unpacked(counts: list[bytes]) -> np.ndarray:
-    """Count vectors as numbers; a full group bounds nothing, so it counts as very many."""
-    out = np.frombuffer(b"".join(counts), "<u2").reshape(-1, GROUPS).astype(np.int64)
-    out[out == FULL] = 1 << 40
-    return out
+    return np.array([np.frombuffer(c, f"<u{len(c) // GROUPS}") for c in counts], np.int64).reshape(-1, GROUPS)
 
 
 _ROWS = "key long, set_id long, doc_id {kind}, n_shingles long, text_key long, counts binary"
@@ -291,7 +294,7 @@ def _open_blocks(members: DataFrame, first: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("sum_2"),
     ).filter("low < high")
     distinct = blocks.groupBy("leader", "size", "sum_1", "sum_2").agg(F.min("key").alias("key"))
-    return labelled.join(distinct.select("key", "leader", "size"), "key")
+    return labelled.join(distinct.select("key", "leader"), "key")
 
 
 def _partners(blocks: DataFrame, turn: int) -> DataFrame:
@@ -311,65 +314,122 @@ def _partners(blocks: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
-def _between_components(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in a block that the R-tree cannot exclude.
+def _places(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """``place, low, high, side, set_id, component``: where open sets meet.
 
-    ``blocks``: ``key, leader, size, set_id, component``. A block of more than
-    4,096 sets is cut into tiles, and each pair of tiles is a task's own piece.
-    Blocks of one leader meet in a task, which names a pair of theirs once.
+    Sets that blocks connect meet in one place if they fit a tile, or if
+    comparing them all is no more work than comparing each block; otherwise
+    each block is a place. A place too large for a tile is cut into tiles, and
+    each pair of tiles meets on its own.
     """
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    own = F.pmod(F.hash("set_id"), F.col("tiles"))
-    dealt = (
-        blocks.withColumn("tiles", tiles).withColumn("own", own)
+    together = components(blocks.select(F.col("leader").alias("a"), F.col("set_id").alias("b")))
+    members = written(
+        blocks.select("key", "set_id", "component")
+        .join(together.select(F.col("node").alias("set_id"), F.col("component").alias("whole")), "set_id")
+        .join(sets.select("set_id", "n_shingles"), "set_id"),
+        "members",
+    )
+    size = [F.count("*").alias("sets"), F.sum("n_shingles").alias("shingles")]
+    by_block = members.groupBy("key", "whole").agg(*size)
+    work = by_block.groupBy("whole").agg(F.sum(F.col("sets").cast("double") * F.col("sets")).alias("work"))
+    by_whole = members.select("whole", "set_id", "n_shingles").distinct().groupBy("whole").agg(*size).join(work, "whole")
+    fits = (F.col("sets") <= TILE) & (F.col("shingles") <= TILE_SHINGLES)
+    cheaper = F.col("sets").cast("double") * F.col("sets") <= F.col("work")
+    by_whole = by_whole.withColumn("as_whole", fits | cheaper)
+    tiles = F.ceil(F.greatest(F.col("sets") / TILE, F.col("shingles") / TILE_SHINGLES)).cast("int").alias("tiles")
+    wholes = by_whole.filter("as_whole").select("whole", tiles)
+    parts = by_block.join(by_whole.filter("NOT as_whole").select("whole"), "whole").select("key", tiles)
+    met = (
+        members.join(wholes, "whole").select(F.col("whole").alias("place"), "tiles", "set_id", "component").distinct()
+        .unionByName(members.join(parts, "key").select(F.col("key").alias("place"), "tiles", "set_id", "component"))
+    )
+    return (
+        met.withColumn("own", F.pmod(F.hash("set_id"), "tiles"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
-            "leader", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key",
+            "place", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
             (F.col("own") > F.col("other")).cast("int").alias("side"), "set_id", "component",
         )
-        .join(sets.select("set_id", "counts"), "set_id")
-        .select("leader", "low", "high", "key", "side", "component", "set_id", "counts")
     )
 
-    def search(place, sides, component, ids, counts) -> np.ndarray:
-        """Pairs of one place: a tile with itself, or its two sides with each other."""
-        first = np.flatnonzero(sides == 0)
-        second = first if place[1] == place[2] else np.flatnonzero(sides == 1)
-        if not len(first) or not len(second):
-            return np.empty((0, 2), np.int64)
-        tree, out = CountTree(counts[first]), []
-        for q in second:
-            hits = first[tree.search(counts[q], percent)]
-            hits = hits[component[hits] != component[q]]
-            out.append(np.stack([np.minimum(ids[hits], ids[q]), np.maximum(ids[hits], ids[q])], axis=1))
-        return np.unique(np.concatenate(out), axis=0)
+
+def joining_links(
+    sets: list[np.ndarray], component: np.ndarray, first: np.ndarray, second: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Positions of linked sets, one of ``first`` and one of ``second``, that join
+    what neither ``component`` nor an earlier link has joined.
+
+    The R-tree over the count vectors of ``first`` proposes, the shingles decide.
+    """
+    if not len(first) or not len(second):
+        return []
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    counts = np.array([count_vector(x) for x in sets])
+    tree, root, out = CountTree(counts[first]), component.copy(), []
+    own = np.zeros(len(distinct), bool)
+    for q in second:
+        hits = first[tree.search(counts[q], percent)]
+        hits = hits[root[hits] != root[q]]
+        if not len(hits):
+            continue
+        mine = flat[starts[q] : starts[q] + sizes[q]]
+        own[mine] = True
+        ends = np.cumsum(sizes[hits])
+        at = np.arange(ends[-1]) + np.repeat(starts[hits] - ends + sizes[hits], sizes[hits])
+        both = np.add.reduceat(own[flat[at]].astype(np.int64), ends - sizes[hits])
+        own[mine] = False
+        for hit in hits[reachable(both, sizes[hits], int(sizes[q]), percent)]:
+            if root[hit] != root[q]:
+                root[root == root[hit]] = root[q]
+                out.append((int(hit), int(q)))
+    return out
+
+
+def _between_components(
+    blocks: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Links between different components of open blocks: enough of them to join
+    all that links join, at most one fewer than a place has sets.
+
+    ``blocks``: ``key, leader, set_id, component``. Texts travel to the places
+    of their sets, once each where sets meet as a whole.
+    """
+    places = _places(blocks, sets).join(sets.select("set_id", "doc_id", "text_key"), "set_id")
+    texts = docs.withColumnRenamed("doc_id", "own_id").withColumnRenamed("text_key", "own_key")
+    moved = texts.join(
+        places, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key"))
+    ).select("place", "low", "high", "side", "component", "set_id", "text")
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, held, seen = None, [], set()
+        shingler, place, held = Shingler(words), None, {}
 
         def flush() -> pa.RecordBatch:
-            sides, component, ids = (np.array([h[i] for h in held], np.int64) for i in range(3))
-            pairs = search(place, sides, component, ids, _unpacked([h[3] for h in held]))
-            new = [p for p in map(tuple, pairs.tolist()) if p not in seen]
-            seen.update(new)
+            sides = np.array([h[0] for h in held.values()])
+            component = np.array([h[1] for h in held.values()], np.int64)
+            first = np.flatnonzero(sides == 0)
+            second = first if place[1] == place[2] else np.flatnonzero(sides == 1)
+            ids = list(held)
+            found = joining_links([h[2] for h in held.values()], component, first, second, percent)
             return pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in new], pa.int64()) for i in (0, 1)], names=["a", "b"]
+                [pa.array([ids[p[i]] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
-                if row[:4] != place:
+            for *here, side, component, set_id, text in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                if here != place:
                     if held:
                         yield flush()
-                    if place is None or row[0] != place[0]:
-                        seen.clear()
-                    place, held = row[:4], []
-                held.append(row[4:])
+                    place, held = here, {}
+                # A document that occurs twice brings its set twice.
+                if set_id not in held:
+                    held[set_id] = (side, component, shingler(text))
         if held:
             yield flush()
 
-    ordered = dealt.repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high", "key")
-    return ordered.mapInArrow(searched, "a long, b long").distinct()
+    ordered = moved.repartition("place", "low", "high").sortWithinPartitions("place", "low", "high", "set_id")
+    return ordered.mapInArrow(searched, "a long, b long")
 
 
 def linked_documents(
@@ -407,7 +467,8 @@ def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     members = found.filter("n_shingles IS NULL").select("key", "set_id", "leader", "ways")
     owners = found.filter("n_shingles IS NOT NULL").select("doc_id", "set_id", "n_shingles", "text_key", "counts")
     sets = written(
-        owners.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key", "counts")).alias("own")).select("set_id", "own.*"),
+        owners.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key", "counts", "n_shingles")).alias("own"))
+        .select("set_id", "own.*"),
         "sets",
     )
     parts = members.filter("ways IS NOT NULL").select("key", F.col("leader").alias("set_id")).distinct()
@@ -434,10 +495,8 @@ def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
         links = links.unionByName(more)
         first = written(components(links), "components")
         blocks = _open_blocks(members, first)
-    rest = _between_components(blocks, sets, percent).join(judged, ["a", "b"], "left_anti")
-    rest = written(rest, "rest")
-    if not rest.isEmpty():
-        more = written(_verified(rest, sets, rows, words, percent), "links")
+    more = written(_between_components(blocks, sets, rows, words, percent), "links")
+    if not more.isEmpty():
         first = written(components(links.unionByName(more)), "components")
     grouped = owners.filter("n_shingles > 0").join(
         first.withColumnRenamed("node", "set_id"), "set_id", "left"

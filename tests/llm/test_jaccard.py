@@ -74,6 +74,7 @@ def test_edge_rows(edge, nothing):
 
 def test_tiles_of_a_large_block_lose_nothing(workers, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE", 3)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
     monkeypatch.setattr(jaccard, "PER_LEADER", 2)
     monkeypatch.setattr(jaccard, "HOT_LEAST", 2)
     rows = near_copies(3)[:60]
@@ -81,6 +82,59 @@ def test_tiles_of_a_large_block_lose_nothing(workers, monkeypatch):
     assert Counter(tuple(r) for r in jaccard.linked_documents(docs).collect()) == brute(rows, 85)
 
 
+@pytest.mark.parametrize("tile", [jaccard.TILE, 16])
+def test_a_large_group_at_the_threshold_comes_out_as_few_links(workers, monkeypatch, tile):
+    """Copies that differ from one text in many places link with some of each other."""
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    rng, rows = random.Random(8), []
+    base = [f"w{n}" for n in range(300)]
+    for n in range(150):
+        copy = list(base)
+        for _ in range(rng.randrange(4, 9)):
+            copy[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+        rows.append((n, " ".join(copy)))
+    docs = workers.createDataFrame(rows, "doc_id long, text string")
+    found, plain = [], jaccard._between_components
+    monkeypatch.setattr(jaccard, "_between_components", lambda *a: found.append(jaccard.written(plain(*a), "f")) or found[0])
+    assert Counter(tuple(r) for r in jaccard.linked_documents(docs).collect()) == brute(rows, 85)
+    if tile == jaccard.TILE:
+        assert 0 < found[0].count() < 150
+
+
+def test_joining_links_of_random_sets():
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(12):
+        base = rng.integers(0, 1 << 63, int(rng.integers(1, 90)), dtype=np.uint64) * np.uint64(2)
+        sets += [np.unique(base[rng.random(len(base)) < keep]) for keep in (1, 0.97, 0.94, 0.9) for _ in range(3)]
+    sets = [x for x in sets if len(x)]
+    n = np.arange(len(sets))
+    links = {(a, b) for a in n for b in n[:a] if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))}
+
+    def joined(pairs):
+        root = n.copy()
+        for a, b in pairs:
+            root[root == root[a]] = root[b]
+        return {tuple(np.flatnonzero(root == r)) for r in root}
+
+    got = jaccard.joining_links(sets, n, n, n, 85)
+    assert joined(got) == joined(links) and len(got) == len(n) - len(joined(links))
+    assert jaccard.joining_links(sets, np.zeros(len(n), np.int64), n, n, 85) == []
+    odd, even = n[n % 2 == 1], n[n % 2 == 0]
+    across = {p for p in links if p[0] % 2 != p[1] % 2}
+    assert joined(jaccard.joining_links(sets, n, even, odd, 85)) == joined(across)
+
+
+def test_a_group_of_very_many_shingles_hides_no_link():
+    """Counts beyond two bytes are kept whole, and sizes are exact."""
+    some = np.arange(70_000, dtype=np.uint64)
+    other = np.concatenate([some[:-300], np.arange(300, dtype=np.uint64) + np.uint64(1 << 63)])
+    vectors = jaccard._unpacked([jaccard.group_counts(some), jaccard.group_counts(np.unique(other))])
+    assert vectors.sum(axis=1).tolist() == [70_000, 70_000]
+    assert list(CountTree(vectors[:1]).search(vectors[1], 85)) == [0]
+
+
 @pytest.mark.parametrize("percent", [80, 85, 95])
 def test_linked_sets_share_a_block(percent):
     rng = np.random.default_rng(percent)
