@@ -1,7 +1,7 @@
 """Sharding by histogram sort.
 
-Documents are ordered by a hash of their text, then of their id, so equal texts
-lie together. The cuts between shards are found without sorting: bytes below
+Documents are ordered by a hash of their text, then of their id, then by where
+they are stored, so equal texts lie together and even equal rows can be parted. The cuts between shards are found without sorting: bytes below
 candidate keys are counted exactly over all partitions, and the range around
 each cut is probed again, finer, until the bytes below a probe are within
 tolerance of the wanted amount. Only then is anything exchanged, once.
@@ -24,10 +24,11 @@ KEYS = 1 << 63
 
 @dataclass(frozen=True)
 class Cut:
-    """Rows with (text_key, id_key) >= (text_key, id_key) of the cut lie above it."""
+    """Rows whose (text_key, id_key, copy_key) is not less than the cut's lie above it."""
 
     text_key: int
     id_key: int = 0
+    copy_key: int = 0
 
 
 @dataclass(frozen=True)
@@ -39,12 +40,17 @@ class _Search:
     width: int = KEYS
     below: int = 0
     text_key: int | None = None
+    id_key: int | None = None
+
+    @property
+    def place(self) -> tuple:
+        return self.text_key, self.id_key, self.low, self.width
 
     def step(self, probes: int) -> int:
         return -(-self.width // probes)
 
     def cut(self, at: int) -> Cut:
-        return Cut(at) if self.text_key is None else Cut(self.text_key, at)
+        return Cut(*[k for k in (self.text_key, self.id_key) if k is not None], at)
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
@@ -55,12 +61,16 @@ def _keys(id_col: str, text_col: str) -> list[Column]:
 
 
 def sized_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One narrow row per document: id, size in bytes plus 1, CRC-32 and keys."""
+    """One narrow row per document: id, size in bytes plus 1, CRC-32 and keys.
+
+    ``copy_key`` tells rows apart that agree in text and id.
+    """
     return docs.select(
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(text_or_empty(text_col)).alias("text_crc32"),
         *_keys(id_col, text_col),
+        F.monotonically_increasing_id().alias("copy_key"),
     )
 
 
@@ -69,21 +79,21 @@ def find_cuts(keyed: DataFrame, shards: int = 8, tolerance: float = 0.005, probe
     ``tolerance`` of a shard.
 
     A cut falls between texts; only where one text's copies alone exceed the
-    tolerance does it fall between ids of that text. Rows equal in both keys
-    are never parted. The driver receives at most ``(shards - 1) * probes``
-    counts a round, and a round narrows each range ``probes``-fold, so at most
-    14 rounds are needed, two or three as a rule.
+    tolerance does it fall between ids of that text, and between rows of one id
+    only where these alone exceed it. The driver receives at most
+    ``(shards - 1) * probes`` counts a round, and a round narrows each range
+    ``probes``-fold, so at most 21 rounds are needed, two or three as a rule.
     """
     total = keyed.agg(F.sum("size")).first()[0] or 0
     slack = tolerance * total / shards
     open_ = {n: _Search(total * n / shards) for n in range(1, shards)}
     cuts: dict[int, Cut] = {}
     while open_:
-        places = sorted({(s.text_key, s.low, s.width) for s in open_.values()}, key=str)
+        places = sorted({s.place for s in open_.values()}, key=str)
         counted = _bytes_by_probe(keyed, places, probes)
         narrowed = {}
         for n, search in open_.items():
-            sums = counted.get(places.index((search.text_key, search.low, search.width)), {})
+            sums = counted.get(places.index(search.place), {})
             found = _narrow(search, sums, slack, probes)
             if isinstance(found, Cut):
                 cuts[n] = found
@@ -96,11 +106,12 @@ def find_cuts(keyed: DataFrame, shards: int = 8, tolerance: float = 0.005, probe
 def _bytes_by_probe(keyed: DataFrame, places: list[tuple], probes: int) -> dict[int, dict[int, int]]:
     """Bytes of the rows between neighbouring probes, for each range."""
     which, probe = F.lit(None).cast("int"), F.lit(None).cast("long")
-    for n, (text_key, low, width) in enumerate(places):
-        key = F.col("text_key") if text_key is None else F.col("id_key")
+    for n, (text_key, id_key, low, width) in enumerate(places):
+        fixed = {k: v for k, v in (("text_key", text_key), ("id_key", id_key)) if v is not None}
+        key = F.col(("text_key", "id_key", "copy_key")[len(fixed)])
         inside = (key >= low) & (key <= low + width - 1)
-        if text_key is not None:
-            inside = inside & (F.col("text_key") == text_key)
+        for name, value in fixed.items():
+            inside = inside & (F.col(name) == value)
         offset = F.call_function("div", key - F.lit(low), F.lit(-(-width // probes)))
         which, probe = F.when(inside, n).otherwise(which), F.when(inside, offset).otherwise(probe)
     rows = (
@@ -125,24 +136,29 @@ def _narrow(search: _Search, sums: dict[int, int], slack: float, probes: int) ->
     low = search.low + probe * step
     width = min(step, search.low + search.width - low)
     near, miss = min(((low, search.wanted - below), (low + width, above - search.wanted)), key=lambda x: x[1])
-    if miss <= slack:
+    # Equal rows are counted to the end: how many lie below must not depend on where they are stored.
+    if miss <= slack and search.id_key is None:
         return search.cut(near)
     inner = replace(search, low=low, width=width, below=below)
     if width > 1:
         return inner
     if search.text_key is None:
         return replace(inner, text_key=low, low=0, width=KEYS)
+    if search.id_key is None:
+        return replace(inner, id_key=low, low=0, width=KEYS)
     return search.cut(near)
 
 
-def shard_of(cuts: list[Cut]) -> Column:
-    """Shard number over the columns ``text_key`` and ``id_key``."""
+def shard_of(cuts: list[Cut], names: dict[str, str] | None = None) -> Column:
+    """Shard number over the columns ``text_key``, ``id_key`` and ``copy_key``, or what ``names`` calls them."""
+    names = names or {}
     shard = F.lit(0)
     for cut in cuts:
-        above = (F.col("text_key") > min(cut.text_key, KEYS - 1)) | (
-            (F.col("text_key") == cut.text_key) & (F.col("id_key") >= min(cut.id_key, KEYS - 1))
-            if cut.text_key < KEYS else F.lit(False)
-        )
+        above = F.lit(True)
+        for name in ("copy_key", "id_key", "text_key"):
+            value = getattr(cut, name)
+            key = F.col(names.get(name, name))
+            above = (key > value) | ((key == value) & above) if value < KEYS else F.lit(False)
         shard = shard + above.cast("int")
     return shard
 
@@ -155,12 +171,12 @@ def assign_shards(
     Sizes (UTF-8 bytes plus 1) of the shards come out near equal; copies of one
     text share a shard unless that would miss the tolerance. Slots run from 0
     within a shard in key order. A null text has size 1 and the CRC-32 of an
-    empty one. Null and repeated ids are rows like others; extra columns are
-    not read. An empty table gives an empty result.
+    empty one. Null and repeated ids are rows like others, and rows that agree
+    in text and id are parted where the law asks for it; extra columns are not read. An empty table gives an empty result.
     """
     keyed = written(sized_keys(docs, id_col, text_col), "keys")
     placed = keyed.withColumn("shard", shard_of(find_cuts(keyed, shards, tolerance)))
-    order = [F.asc("text_key"), F.asc("id_key"), F.asc("text_crc32"), F.asc("size"), F.asc("doc_id")]
+    order = [F.asc("text_key"), F.asc("id_key"), F.asc("text_crc32"), F.asc("size"), F.asc("doc_id"), F.asc("copy_key")]
     return ranked(placed, ["shard"], order, "slot").select(
         F.col("doc_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
@@ -171,16 +187,28 @@ def write_shards(
     docs: DataFrame, path: str, shards: int = 8, tolerance: float = 0.005, id_col: str = "doc_id",
     text_col: str = "text",
 ) -> None:
-    """Write whole documents under ``path/shard=N``, in key order.
+    """Write whole documents under ``path/shard=N``, in key order, all columns kept.
 
     A row's shard follows from its keys alone, so the documents themselves are
-    exchanged once, by ranges that also split a hot text.
+    exchanged once, by ranges that also split a hot text. Only where rows that
+    agree in text and id must be parted are they written once before, so that
+    each keeps its place. If ``docs`` has a column ``shard``, the folders are
+    called ``shard_1=N``, or by the next free number.
     """
-    keyed = written(sized_keys(docs, id_col, text_col), "keys")
-    keys = dict(zip(("text_key", "id_key"), _keys(id_col, text_col), strict=True))
-    order = ["shard", "text_key", "id_key"]
+    taken = {c.lower() for c in docs.columns}
+    home = next(n for n in ("shard", *(f"shard_{i}" for i in range(1, len(taken) + 2))) if n not in taken)
+    names = {k: f"__{k}" for k in ("text_key", "id_key", "copy_key")}
+    own = dict(zip(("text_key", "id_key"), _keys(id_col, text_col), strict=True))
+    size = sized_keys(docs.select(id_col, text_col), id_col, text_col)
+    cuts = find_cuts(written(size, "keys"), shards, tolerance)
+    keyed = docs.withColumns({names[k]: c for k, c in own.items()}).withColumn(names["copy_key"], F.monotonically_increasing_id())
+    if any(cut.copy_key for cut in cuts):
+        keyed = written(keyed, "keyed")
+        sizes = (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size")
+        cuts = find_cuts(keyed.select(sizes, *[F.col(v).alias(k) for k, v in names.items()]), shards, tolerance)
+    order = [home, *names.values()]
     (
-        docs.withColumns(keys).withColumn("shard", shard_of(find_cuts(keyed, shards, tolerance)))
-        .repartitionByRange(*order).sortWithinPartitions(*order).drop("text_key", "id_key")
-        .write.partitionBy("shard").parquet(path)
+        keyed.withColumn(home, shard_of(cuts, names))
+        .repartitionByRange(*order).sortWithinPartitions(*order).drop(*names.values())
+        .write.partitionBy(home).parquet(path)
     )

@@ -112,6 +112,55 @@ def test_one_hot_text_is_parted_between_ids(spark):
     assert len(got) == 8 and all(abs(r["size"] - even) <= 0.02 * even + 20 for r in got)
 
 
+def shares(rows, shards=8):
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r.shard] += r.size
+    return [sizes[n] for n in range(shards)]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_rows_that_agree_in_text_and_id_are_parted(spark, parts):
+    rows = [(None, "one row again and again")] * 3000 + [(n, f"another text {n}") for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = sharding.assign_shards(docs, 8).collect()
+    sizes = shares(got)
+    assert max(sizes) - min(sizes) <= 0.01 * sum(sizes) / 8 + 2 * 24
+    for n in range(8):
+        assert sorted(r.slot for r in got if r.shard == n) == list(range(sum(r.shard == n for r in got)))
+    assert collections.Counter((r.doc_id, r.size) for r in got) == collections.Counter((i, len(t) + 1) for i, t in rows)
+
+
+def test_how_equal_rows_are_parted_does_not_depend_on_where_they_lie(spark):
+    docs = spark.createDataFrame([(1, "same")] * 900 + [(n, f"text {n}") for n in range(100)], "doc_id long, text string")
+    seen = [
+        collections.Counter((r.doc_id, r.shard) for r in sharding.assign_shards(docs.repartition(parts), 4).collect())
+        for parts in (1, 3, 8)
+    ]
+    assert seen[0] == seen[1] == seen[2]
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 0.005, 0.05])
+def test_cuts_lie_where_the_sorted_sum_has_them(spark, sf_dir, tolerance):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    keyed = sharding.written(sharding.sized_keys(docs), "k")
+    rows = sorted((r.text_key, r.id_key, r.copy_key, r.size) for r in keyed.collect())
+    total, largest = sum(r[3] for r in rows), max(r[3] for r in rows)
+    for n, cut in enumerate(sharding.find_cuts(keyed, 8, tolerance), 1):
+        below = sum(r[3] for r in rows if r[:3] < (cut.text_key, cut.id_key, cut.copy_key))
+        assert abs(below - total * n / 8) <= max(tolerance * total / 8, largest / 2)
+
+
+def test_written_shards_keep_columns_of_any_name_and_part_equal_rows(spark, tmp_path):
+    rows = [(None, "again and again", n, n, -n) for n in range(400)] + [(n, f"text {n}", n, n, n) for n in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard int, text_key int, id_key int")
+    sharding.write_shards(docs, str(tmp_path / "s"), 4)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert collections.Counter(map(tuple, back.select(docs.columns).collect())) == collections.Counter(rows)
+    counts = [r["count"] for r in back.groupBy("shard_1").count().collect()]
+    assert len(counts) == 4 and max(counts) - min(counts) <= 30
+
+
 def test_whole_documents_are_written_by_shard(spark, docs, tmp_path):
     path = str(tmp_path / "shards")
     sharding.write_shards(docs, path, 3)
