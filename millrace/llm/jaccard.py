@@ -340,7 +340,8 @@ def _places(blocks: DataFrame, sets: DataFrame) -> DataFrame:
     wholes = by_whole.filter("as_whole").select("whole", tiles)
     parts = by_block.join(by_whole.filter("NOT as_whole").select("whole"), "whole").select("key", tiles)
     met = (
-        members.join(wholes, "whole").select(F.col("whole").alias("place"), "tiles", "set_id", "component").distinct()
+        members.select("whole", "set_id", "component").distinct().join(wholes, "whole")
+        .select(F.col("whole").alias("place"), "tiles", "set_id", "component")
         .unionByName(members.join(parts, "key").select(F.col("key").alias("place"), "tiles", "set_id", "component"))
     )
     return (
