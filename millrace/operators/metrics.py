@@ -60,9 +60,14 @@ def facility_metrics(facts: DataFrame, attributes: DataFrame) -> DataFrame:
     Ratios are ratios of sums over the period. Beds are one number per
     facility and never summed over days. Facts are aggregated before the join.
     """
+    return facility_ratios(facility_totals(facts), attributes)
+
+
+def facility_ratios(totals: DataFrame, attributes: DataFrame) -> DataFrame:
+    """The ratios of totals per facility, beside its attributes."""
     have = [c for c in ATTRIBUTES if c in attributes.columns]
     return (
-        facility_totals(facts)
+        totals
         .join(attributes.select("provnum", *have), "provnum", "left")
         .select(
             "provnum",

@@ -776,6 +776,16 @@ def replayed_merge(spark, sf_dir):
     return spark.read.schema(schema).parquet(table)
 
 
+@query
+def range_from_sums(spark, sf_dir):
+    """The facilities of a month range from two months of the fact's running sums."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.stored(gold.DAILY, "month_key").replace(_measures(spark, sf_dir), "provnum")
+    gold.refresh_sums(lake)
+    totals = gold.range_totals(lake, lake.stored(gold.DAILY).newest(), START, END)
+    return metrics.facility_ratios(totals, _attributes(spark, sf_dir))
+
+
 @query
 def stored_report(spark, sf_dir):
     """A second report of a month range reads what the first one stored in the lake."""

@@ -445,6 +445,7 @@ _BODIES = {
     "range_filter": "SELECT * FROM v_range",
     "facility_agg": "SELECT * FROM v_range_totals",
     "facility_metrics": "SELECT * FROM v_range_facilities",
+    "range_from_sums": "SELECT * FROM v_range_facilities",
     "stored_report": "SELECT * FROM v_range_facilities",
     "monthly_trend": "SELECT * FROM v_range_trend",
     "filter_options": """

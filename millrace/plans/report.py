@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import distribution, history, metrics
-from millrace.plans.gold import DAILY, PROVIDERS
+from millrace.plans.gold import DAILY, PROVIDERS, range_totals
 from millrace.plans.lake import Lake
 from millrace.sources.sinks import file_system
 
@@ -27,7 +27,8 @@ class Report:
     versions of the tables they come from and the month range. Another report
     of the range reads them for ``minutes``; a refresh makes new versions, so
     its results are never served from before it. Filters apply to the stored
-    frames. Call ``close`` when done, or use as a context manager.
+    frames. Where running sums of the fact are stored (``gold.refresh_sums``),
+    the facilities come from two months of them instead of the days. Call ``close`` when done, or use as a context manager.
     """
 
     def __init__(self, lake: Lake, start: int, end: int, minutes: float = MINUTES, **choice) -> None:
@@ -38,6 +39,7 @@ class Report:
             raise FileNotFoundError(f"not refreshed yet: {', '.join(missing)}")
         self._state = "-".join(str(v.number) for v in found.values())
         self._range = f"{start}-{end}"
+        self._totals = range_totals(lake, found[DAILY], start, end)
         self._facts = metrics.in_months(tables[DAILY].at(found[DAILY]), start, end)
         self._attributes = history.latest_attributes(
             tables[PROVIDERS].at(found[PROVIDERS]), "provnum", metrics.ATTRIBUTES
@@ -73,7 +75,12 @@ class Report:
 
     @cached_property
     def all_facilities(self) -> DataFrame:
-        return self._stored("facilities", lambda: metrics.facility_metrics(self._facts, self._attributes)).persist()
+        return self._stored("facilities", self._facility_metrics).persist()
+
+    def _facility_metrics(self) -> DataFrame:
+        if self._totals is None:
+            return metrics.facility_metrics(self._facts, self._attributes)
+        return metrics.facility_ratios(self._totals, self._attributes)
 
     @property
     def facilities(self) -> DataFrame:
