@@ -39,7 +39,7 @@ def words_of(text: bytes) -> list[bytes]:
 @dataclass(frozen=True)
 class ToxicityModel:
     """Network, and the curve from greatest window logit to score. Without a
-    network (no toxic or no clean example was given) every score is 0."""
+    network (no toxic or no clean example with words was given) every score is 0."""
 
     params: gru.Params | None
     slope: float = 1.0
@@ -61,12 +61,10 @@ def greatest(scorer: gru.Scorer, texts: list[bytes]) -> np.ndarray:
 
 def train(texts: list[bytes], labels: list[int], seed: int = 7) -> ToxicityModel:
     """Fit network and curve; the same input gives the same model."""
-    target = np.array(labels, float)
+    known = [(d, t) for d, t in zip(map(words_of, texts), labels, strict=True) if d]
+    docs, target = tuple(d for d, _ in known), np.array([t for _, t in known], float)
     if not len(target) or target.min() == target.max():
         return ToxicityModel(None)
-    docs = [words_of(t) for t in texts]
-    docs, target = zip(*[(d, t) for d, t in zip(docs, target, strict=True) if d], strict=True)
-    target = np.array(target)
     trainer = gru.Trainer(seed)
     rng = trainer.rng
     balance = np.where(target == 1, (target == 0).sum() / max(1, (target == 1).sum()), 1.0)

@@ -273,3 +273,9 @@ def test_pages_table(workers, sf_dir):
     weights = html_text.fitted(pages)
     for r in html_text.extracted(pages, weights).join(pages.select("page_id", "html"), "page_id").collect():
         assert r.text and "track(" not in r.text and "<" not in r.text.replace("< ", "") or "&lt;" in r.html
+
+
+@pytest.mark.parametrize("texts", [[], [b"", b""], [b" \n", b"some words"], [b"some words", b"\t"]])
+def test_toxicity_without_words_of_both_kinds_scores_nothing(texts):
+    model = toxicity.train(texts, [0, 1][: len(texts)])
+    assert model.params is None and model.scores(None, [b"some words", b""]).tolist() == [0, 0]
