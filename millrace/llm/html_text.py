@@ -24,9 +24,11 @@ from millrace.llm.min_cut import Cut
 
 #: HTML elements by their role.
 UNSEEN = {
-    "script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object", "select", "textarea",
-    "button", "canvas", "video", "audio", "datalist",
+    "script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "select", "textarea", "button",
+    "canvas", "video", "audio", "datalist", "annotation", "annotation-xml",
 }
+#: Elements whose content has no tags of its own.
+RAW = {"script", "style", "title", "textarea", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl",
@@ -50,20 +52,28 @@ NAMES_REST = {
     "sponsored", "subscribe", "toolbar", "topbar", "widget",
 }
 
+#: Words that begin the class or id of what readers wrote, and words after which it is a switch of the page.
+NAMES_READERS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
+SWITCHES = {"open", "opened", "closed", "enabled", "disabled", "allowed", "on", "off"}
+
+_REST_OF_TAGS = r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)|<[a-zA-Z][^>]*+\Z"
+_COMMENT = r"<!--.*?(?:-->|\Z)"
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
-    re.S,
+    rf"{_COMMENT}|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|{_REST_OF_TAGS}", re.S
 )
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+#: For what follows a quote that never ends: a tag reaches to its first ``>``.
+_UNQUOTED_TAG = re.compile(rf"{_COMMENT}|()()()(?!)|{_REST_OF_TAGS}", re.S)
+_ATTRIBUTE = re.compile(r"(?<![^\s=\"'/>])([^\s=\"'/>]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _NAME = re.compile(r"[a-z]+")
 _BLANK = re.compile(r"[\x20\x09-\x0d\xa0]+")
 
 TEXT, REST, FORM, UNKNOWN = 1, -1, -2, 0
 #: Costs, in thousandths: the most that the classifier may say of a block, what markup that names a role
 #: says (a boilerplate element, a boilerplate class or id, an article or form, the bare body), and of
-#: parted neighbours. Each of them is less than the classifier's most, so none decides alone.
+#: parted neighbours. Each of them is less than the classifier's most, so none decides alone. Only what
+#: readers wrote counts more: it looks like text, so its looks say nothing.
 MOST = 8000
+READERS = 9000
 ELEMENT, NAMED, LIKELY, UNCERTAIN = 6500, 4500, 4000, 1500
 NEXT, SIBLING, COUSIN, ACROSS = 300, 600, 250, 60
 PAGES = 400
@@ -77,7 +87,8 @@ class Place:
 
     An article inside boilerplate speaks against what is ``around`` it. Alone
     in there it is the text, and the name around it misleads; one of several
-    is a teaser or a comment, and the name around them holds.
+    is a teaser, and the name around them holds. An article among what readers
+    wrote is a comment, however few there are.
     """
 
     role: int = UNKNOWN
@@ -107,6 +118,9 @@ class _Open:
     tag: str
     number: int
     place: Place
+    #: Nothing in it is shown, and whether an end tag follows somewhere.
+    unseen: bool = False
+    ends: bool = True
 
 
 @dataclass
@@ -116,12 +130,20 @@ class _Builder:
     stack: list[_Open] = field(default_factory=lambda: [_Open("", 0, Place())])
     blocks: list[Block] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
+    #: Where in the stack the open elements of each name are.
+    named: dict[str, list[int]] = field(default_factory=dict)
     linked: int = 0
     length: int = 0
     in_link: bool = False
     numbers: int = 0
 
+    @property
+    def unseen(self) -> bool:
+        return self.stack[-1].unseen
+
     def add(self, text: str) -> None:
+        if self.unseen:
+            return
         self.parts.append(text)
         visible = len(text)
         self.length += visible
@@ -138,22 +160,51 @@ class _Builder:
                 self.blocks.append(Block(text, top.tag, self.linked / max(1, self.length), tuple(ids), top.place))
             self.parts, self.linked, self.length = [], 0, 0
 
+    def push(self, entry: _Open) -> None:
+        self.named.setdefault(entry.tag, []).append(len(self.stack))
+        self.stack.append(entry)
+
+    def cut(self, depth: int) -> None:
+        """Ends all elements from ``depth`` on."""
+        while len(self.stack) > depth:
+            self.named[self.stack.pop().tag].pop()
+
+    def reveal(self) -> None:
+        """Ends what is not shown."""
+        while self.unseen:
+            self.cut(len(self.stack) - 1)
+
     def open(self, tag: str, attributes: str) -> None:
+        if self.unseen:
+            if self.stack[-1].ends:
+                self.push(_Open(tag, 0, self.stack[-1].place, unseen=True))
+                return
+            self.reveal()
         self.flush()
         closes = CLOSES.get(tag)
         if self.stack[-1].tag == "p" or (closes and self.stack[-1].tag in closes):
-            self.stack.pop()
+            self.cut(len(self.stack) - 1)
             if closes and self.stack[-1].tag in closes:
-                self.stack.pop()
+                self.cut(len(self.stack) - 1)
         self.numbers += 1
-        self.stack.append(_Open(tag, self.numbers, _place(tag, attributes, self.stack[-1].place)))
+        self.push(_Open(tag, self.numbers, _place(tag, attributes, self.stack[-1].place)))
+
+    def hide(self, tag: str, ends: bool) -> None:
+        """An element that is not shown begins; the text around it stays one block."""
+        self.push(_Open(tag, 0, self.stack[-1].place, unseen=True, ends=ends))
 
     def close(self, tag: str) -> None:
-        self.flush()
-        for n in range(len(self.stack) - 1, 0, -1):
-            if self.stack[n].tag == tag:
-                del self.stack[n:]
-                return
+        """Ends the innermost element of that name with all in it, shown or not."""
+        depths = self.named.get(tag)
+        if not depths:
+            if not self.unseen:
+                self.flush()
+        elif self.stack[depths[-1]].unseen:
+            self.cut(depths[-1])
+        else:
+            self.reveal()
+            self.flush()
+            self.cut(depths[-1])
 
 
 def _place(tag: str, attributes: str, above: Place) -> Place:
@@ -165,6 +216,8 @@ def _place(tag: str, attributes: str, above: Place) -> Place:
     if says:
         return above if above.role == REST and above.weight <= -says else Place(REST, -says)
     if tag in AROUND_TEXT and above.role != TEXT:
+        if tag == "article" and above.role == REST and above.weight == -READERS:
+            return above
         if above.role != REST or tag == "main":
             return Place(TEXT, LIKELY)
         above.articles += 1
@@ -176,47 +229,76 @@ def _place(tag: str, attributes: str, above: Place) -> Place:
 
 def _boilerplate(tag: str, attributes: str, above: Place) -> int:
     """How much the element itself says for boilerplate."""
-    if tag in AROUND_REST:
-        return ELEMENT
     names: set[str] = set()
+    says = ELEMENT if tag in AROUND_REST else 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes or ""):
         name = name.lower()
         if name in ("class", "id"):
-            names.update(_NAME.findall((a or b or c).lower()))
+            for token in (a or b or c).lower().split():
+                words = _NAME.findall(token)
+                names.update(words)
+                if words and words[0] in NAMES_READERS and words[-1] not in SWITCHES and tag not in ("body", "html"):
+                    return READERS
         elif name == "role" and (a or b or c).lower() in ROLES_REST:
-            return ELEMENT
+            says = ELEMENT
+    if says:
+        return says
     if tag != "body" and tag != "html" and names & NAMES_REST:
         return NAMED
     return NAMED if tag == "header" and above.role != TEXT else 0
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Text blocks of a page in order; scripts, styles, form controls and markup are gone."""
-    builder, at = _Builder(), 0
+    """Text blocks of a page in order; scripts, styles, form controls and markup are gone.
+
+    What is not shown ends with its parent, or with the next block where it has
+    no end tag; a script or style without one takes the rest of the page, as in
+    browsers. Of formulas the symbols are text, and what stands in for scripts
+    is text in an article.
+    """
+    builder, ends, pattern, at = _Builder(), _Ends(page), _TAG, 0
     size = len(page)
     while at < size:
-        found = _TAG.search(page, at)
+        found = pattern.search(page, at)
         if not found:
             builder.add(page[at:])
             break
         if found.start() > at:
             builder.add(page[at : found.start()])
         at = found.end()
-        ending, tag, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
+        ending, tag, attributes = found.group(1, 2, 3)
         if not tag:
-            continue
+            ending, tag, attributes = found.group(4, 5, 6)
+            if not tag:
+                continue
+            pattern = _UNQUOTED_TAG
         tag = tag.lower()
         if tag in UNSEEN:
-            if not ending and not attributes.endswith("/"):
-                at = _end_of(page, at, tag)
+            if ending:
+                if builder.unseen:
+                    builder.close(tag)
+            elif not attributes.endswith("/") and not (tag == "noscript" and builder.stack[-1].place.role == TEXT):
+                end = ends.after(tag, at)
+                if tag == "head":
+                    at = _end_of_head(page, at, end)
+                elif tag in RAW and end:
+                    at = end[1]
+                elif tag in ("script", "style"):
+                    at = size
+                else:
+                    builder.hide(tag, end is not None)
             if tag == "head":
                 builder.flush()
         elif tag == "a":
-            builder.in_link = not ending
+            builder.in_link = not ending if not builder.unseen else builder.in_link
         elif tag == "br" or tag == "hr":
-            builder.add(" ") if tag == "br" else builder.flush()
+            if tag == "br":
+                builder.add(" ")
+            elif not builder.unseen:
+                builder.flush()
         elif tag in BLOCK:
             builder.close(tag) if ending else builder.open(tag, attributes)
+    builder.reveal()
     builder.flush()
     for block in builder.blocks:
         block.place = block.place.settled()
@@ -227,15 +309,27 @@ _ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in UNSEEN}
 _BODY = re.compile(r"<body\b", re.I)
 
 
-def _end_of(page: str, at: int, tag: str) -> int:
-    """Where the element ends; an unclosed head ends at the body, others with the page."""
-    found = _ENDS[tag].search(page, at)
-    if tag == "head":
-        body = _BODY.search(page, at)
-        if body and (not found or body.start() < found.start()):
-            return body.start()
-        return found.end() if found else at
-    return found.end() if found else len(page)
+@dataclass
+class _Ends:
+    """Next end tag of each name; looked up from left to right, the page is searched once per name."""
+
+    page: str
+    found: dict[str, tuple[int, int] | None] = field(default_factory=dict)
+
+    def after(self, tag: str, at: int) -> tuple[int, int] | None:
+        known = self.found.get(tag, (-1, -1))
+        if known is not None and known[0] < at:
+            match = _ENDS[tag].search(self.page, at)
+            known = self.found[tag] = match.span() if match else None
+        return known
+
+
+def _end_of_head(page: str, at: int, end: tuple[int, int] | None) -> int:
+    """Where the head ends; an unclosed one ends at the body."""
+    body = _BODY.search(page, at)
+    if body and (not end or body.start() < end[0]):
+        return body.start()
+    return end[1] if end else at
 
 
 SHAPE = ["one", "length", "links", "sentences", "ends", "heading", "item", "paragraph", "capitals"]
