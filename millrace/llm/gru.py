@@ -10,10 +10,12 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-TRIGRAMS, WORDS = 4096, 8192
+TRIGRAMS, WORDS = 4096, 32768
 CHAR_DIM, WORD_DIM, HIDDEN, ATTEND = 12, 8, 8, 8
 WIDTH, STRIDE = 64, 48
 BATCH = 512
+#: In training: share of the words left out of a window, and pull of the embeddings to their beginning, per unit of the rate.
+LEFT_OUT, PULL = 0.1, 1.0
 CACHED_WORDS = 1 << 17
 
 Params = dict[str, np.ndarray]
@@ -214,10 +216,15 @@ class Scorer:
 
 
 class Trainer:
-    """Adam over windows, one positive window and some negative ones per text and round."""
+    """Adam over windows. Words are left out at random, and embeddings are pulled to where
+    they began, so that the network learns what many texts share rather than each text by heart."""
 
-    def __init__(self, seed: int = 7, rate: float = 0.01) -> None:
+    def __init__(self, seed: int = 7, rate: float = 0.01, told: np.ndarray | None = None) -> None:
+        """``told`` is what is known of each word bucket beforehand; it begins as the first number of its embedding."""
         self.p, self.rate, self.step = initial(seed), rate, 0
+        if told is not None:
+            self.p["words"][:, 0] += told.astype(np.float32)
+        self.begun = {k: self.p[k].copy() for k in ("words", "chars")}
         self.first = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.second = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.rng = np.random.default_rng(seed)
@@ -232,6 +239,8 @@ class Trainer:
         for n, ws in enumerate(words):
             ids[n, : len(ws)] = [index[w] for w in ws]
             mask[n, : len(ws)] = True
+        left = mask & (self.rng.random(mask.shape) >= LEFT_OUT)
+        mask = np.where(left.any(axis=1, keepdims=True), left, mask)
         keep: list = []
         logits = forward(self.p, table, ids, mask, keep)
         slope = ((_sigmoid(logits) - targets) * weights / weights.sum()).astype(np.float32)
@@ -246,3 +255,5 @@ class Trainer:
             self.second[k] += 0.001 * (g * g - self.second[k])
             rate = self.rate * np.sqrt(1 - 0.999**self.step) / (1 - 0.9**self.step)
             self.p[k] -= (rate * self.first[k] / (np.sqrt(self.second[k]) + 1e-8)).astype(np.float32)
+        for k, begun in self.begun.items():
+            self.p[k] -= np.float32(self.rate * PULL) * (self.p[k] - begun)

@@ -3,7 +3,8 @@
 A label says that a text is toxic, not where. Training therefore alternates:
 the current network scores all windows of each text and picks a suspicious one,
 and these windows are learnt with the text's label, together with random windows
-of clean texts, until the loss of whole texts no longer falls. A logistic curve over the greatest window logit gives the score.
+of clean texts, until the loss of whole texts set apart no longer falls. A logistic
+curve over the greatest window logit of these gives the score.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ from millrace.llm.labelled import held_out, labelled_texts
 
 #: Texts per update, updates between two searches of all windows, rounds without gain that end
 #: training, the loss of whole texts that is low enough, and the share of it that counts as a gain.
-STEP, UPDATES, PATIENCE, ENOUGH, GAIN = 96, 32, 3, 0.02, 0.02
+STEP, UPDATES, PATIENCE, ENOUGH, GAIN = 96, 32, 4, 0.02, 0.02
+RATE = 0.006
+#: Texts of a label from which a third of them is set apart.
+APART = 60
 #: Labelled documents per label value that training may see.
 PER_LABEL = 1200
 #: What the score needs to be reported as toxic.
@@ -60,19 +64,57 @@ def greatest(scorer: gru.Scorer, texts: list[bytes]) -> np.ndarray:
 
 
 def train(texts: list[bytes], labels: list[int], seed: int = 7) -> ToxicityModel:
-    """Fit network and curve; the same input gives the same model."""
+    """Fit network and curve; the same input gives the same model.
+
+    A third of each label's texts first tells how many rounds to train and how
+    far to trust a logit; then the network learns from all texts for as long.
+    Of fewer than ``APART`` texts of a label none can be spared: all tell both.
+    """
     known = [(d, t) for d, t in zip(map(words_of, texts), labels, strict=True) if d]
     docs, target = tuple(d for d, _ in known), np.array([t for _, t in known], float)
     if not len(target) or target.min() == target.max():
         return ToxicityModel(None)
-    trainer = gru.Trainer(seed)
+    own = [np.flatnonzero(target == label) for label in (0, 1)]
+    if min(map(len, own)) < APART:
+        params, _, top = _network(docs, target, seed, docs, target)
+        return ToxicityModel(params, *_curve(top, target))
+    apart = np.zeros(len(docs), bool)
+    for part in own:
+        apart[np.random.default_rng(seed).permutation(part)[: len(part) // 3]] = True
+    learnt = tuple(d for d, a in zip(docs, apart, strict=True) if not a)
+    spared = tuple(d for d, a in zip(docs, apart, strict=True) if a)
+    _, rounds, top = _network(learnt, target[~apart], seed, spared, target[apart])
+    params, _, _ = _network(docs, target, seed, rounds=rounds)
+    return ToxicityModel(params, *_curve(top, target[apart]))
+
+
+def _balance(target: np.ndarray) -> np.ndarray:
+    return np.where(target == 1, (target == 0).sum() / max(1, (target == 1).sum()), 1.0)
+
+
+def associations(docs: tuple[list[bytes], ...], target: np.ndarray) -> np.ndarray:
+    """Log odds that a text which holds a word of the bucket is toxic, less twice their standard error."""
+    counts = np.zeros((2, gru.WORDS))
+    for words, label in zip(docs, target, strict=True):
+        counts[int(label), np.unique(gru.features(sorted(set(words)))[0])] += 1
+    totals = np.array([[(target == 0).sum()], [(target == 1).sum()]])
+    held, free = counts + 0.5, totals - counts + 0.5
+    odds = np.log(held[1] * free[0] / (held[0] * free[1]))
+    return np.sign(odds) * np.maximum(0, np.abs(odds) - 2 * np.sqrt((1 / held + 1 / free).sum(axis=0)))
+
+
+def _network(
+    docs: tuple[list[bytes], ...], target: np.ndarray, seed: int, judges: tuple[list[bytes], ...] = (),
+    verdict: np.ndarray | None = None, rounds: int = 0,
+) -> tuple[gru.Params, int, np.ndarray]:
+    """Parameters, rounds and greatest logits of ``judges``: after ``rounds``, or when the loss of ``judges`` is least."""
+    trainer = gru.Trainer(seed, told=associations(docs, target))
     rng = trainer.rng
-    balance = np.where(target == 1, (target == 0).sum() / max(1, (target == 1).sum()), 1.0)
-    clean_docs = np.flatnonzero(target == 0)
+    balance, clean_docs = _balance(target), np.flatnonzero(target == 0)
     picked = np.array([int(rng.choice(gru.windows(len(d)))) for d in docs])
     best, kept, idle, number = np.inf, None, 0, 0
-    while kept is None or (idle < PATIENCE and best > ENOUGH):
-        trainer.rate = 0.01 / (1 + number / 4) + 0.001
+    while number < rounds or (not rounds and (kept is None or (idle < PATIENCE and best > ENOUGH))):
+        trainer.rate = RATE / (1 + number / 4) + RATE / 10
         for _ in range(UPDATES):
             some = rng.integers(0, len(docs), STEP)
             more = [docs[n] for n in rng.choice(clean_docs, STEP // 4)]
@@ -83,14 +125,26 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> ToxicityModel
                 np.concatenate([target[some], np.zeros(len(free) + len(odd))]),
                 np.concatenate([balance[some], np.full(len(free) + len(odd), 1.0)]),
             )
-        picked, top = _picked(trainer.p, docs, target, rng)
-        loss = float((balance * np.logaddexp(0, np.where(target == 1, -top, top))).sum() / balance.sum())
+        number += 1
+        picked = _picked(trainer.p, docs, target, rng)[0]
+        if rounds:
+            continue
+        top = _greatest(trainer.p, judges)
+        slope, shift = _curve(top, verdict)
+        loss = float(np.logaddexp(0, np.where(verdict == 1, -1, 1) * (slope * top + shift)).mean())
         idle = 0 if loss < best * (1 - GAIN) else idle + 1
         if loss < best:
-            best, kept = loss, ({k: v.copy() for k, v in trainer.p.items()}, top)
-        number += 1
-    params, top = kept
-    return ToxicityModel(params, *_curve(top, target, balance))
+            best, kept = loss, ({k: v.copy() for k, v in trainer.p.items()}, number, top)
+    return kept or (trainer.p, number, np.empty(0))
+
+
+def _greatest(p: gru.Params, docs: tuple[list[bytes], ...]) -> np.ndarray:
+    """Greatest window logit of each text that has words."""
+    scorer, out = gru.Scorer(p), np.full(len(docs), -np.inf)
+    for at in range(0, len(docs), ROWS):
+        logits, owner = scorer.window_logits(list(docs[at : at + ROWS]))
+        np.maximum.at(out, owner + at, logits.astype(float))
+    return out
 
 
 def _repeating(words: list[bytes], rng: np.random.Generator) -> list[bytes]:
@@ -122,12 +176,12 @@ def _picked(
     return np.array(starts), np.array(top)
 
 
-def _curve(top: np.ndarray, target: np.ndarray, balance: np.ndarray) -> tuple[float, float]:
+def _curve(top: np.ndarray, target: np.ndarray) -> tuple[float, float]:
     """Logistic regression of the label on the greatest logit, lightly held back."""
     slope, shift = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(slope * top + shift, -40, 40)))
-        w, miss = balance * p * (1 - p) + 1e-6, balance * (p - target)
+        w, miss = p * (1 - p) + 1e-6, p - target
         hess = np.array([[(w * top * top).sum() + 1.0, (w * top).sum()], [(w * top).sum(), w.sum() + 1e-3]])
         move = np.linalg.solve(hess, [(miss * top).sum() + (slope - 1.0), miss.sum()])
         slope, shift = float(slope - np.clip(move[0], -1, 1)), float(shift - np.clip(move[1], -5, 5))

@@ -84,6 +84,23 @@ def test_training_searches_every_window_of_a_long_text():
     assert len(drawn) > 12 and drawn <= set(gru.windows(3000).tolist())
 
 
+def test_toxicity_on_held_out_labels(workers):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = workers.read.parquet(f"{sf}/documents.parquet"), workers.read.parquet(f"{sf}/labels.parquet")
+    rows = toxicity.judged(docs.join(labels.filter("toxic IS NOT NULL").select("doc_id"), "doc_id", "left_semi"), labels)
+    rows = rows.filter("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    toxic, clean = ([r.predicted for r in rows if r.toxic == label] for label in (1, 0))
+    print("found", sum(toxic), "of", len(toxic), "false alarms", sum(clean), "of", len(clean))
+    assert sum(toxic) >= 0.6 * len(toxic) and sum(clean) <= len(clean) / 60
+
+
+def test_associations_need_more_than_one_text():
+    docs = ([b"bad", b"one"], [b"bad", b"two"], *([b"bad", b"x"] for _ in range(20)), *([b"fine", b"x"] for _ in range(40)))
+    told = toxicity.associations(docs, np.array([1.0] * 22 + [0.0] * 40))
+    of = {w: told[gru.features([w])[0][0]] for w in (b"bad", b"one", b"fine", b"never")}
+    assert of[b"bad"] > 2 and of[b"fine"] < -2 and of[b"one"] == of[b"never"] == 0
+
+
 def test_toxicity_of_edge_rows(edge, nothing, workers):
     labels = workers.createDataFrame([(1, 1, 0), (5, 0, 1), (8, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
     got = toxicity.judged(edge, labels).collect()
