@@ -47,13 +47,16 @@ PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "xxxx", "dummy", "
 _CHAR = "[A-Za-z0-9+/_=.@:-]"
 #: A run with a digit or an assignment, a very long one, or one that something assigns.
 _CANDIDATE = regex.compile(
-    rf"(?<!{_CHAR})(?:(?={_CHAR}*?[0-9=:])|(?={_CHAR}{{24}})|(?<=[\"'=:>]\s*)|(?<=\bis\s+)){_CHAR}{{6,}}+"
+    rf"(?<!{_CHAR})(?={_CHAR})(?:(?={_CHAR}*?[0-9=:])|(?={_CHAR}{{24}})|(?<=[\"'=:>]\s*)|(?<=\bis\s+)){_CHAR}{{6,}}+"
 )
 _FORMAT = regex.compile("|".join(f"(?:{f})" for f in FORMATS))
 _ASSIGNED = rf"(?i)(?:{'|'.join(SECRET_NAMES)})[\w-]{{0,60}}\\?[\"'`]?\s*(?::?=+>?|:|\bis\b)\s*"
 _NAME = regex.compile(rf"{_ASSIGNED}\\?[\"'`]?$")
+_GIVES = regex.compile(_ASSIGNED)
 #: What a secret name is given: all between quotes on one line, else all up to the next blank.
-_GIVEN = regex.compile(rf"{_ASSIGNED}(?:(?P<quote>\\?[\"'`])(?P<value>(?:(?!(?P=quote))(?:\\.|[^\n\\]))+)(?P=quote)|\\?[\"'`]?(?P<value>\S+))")
+_QUOTED = regex.compile(r"(?P<quote>\\?[\"'`])(?P<value>(?:(?!(?P=quote))(?:\\.|[^\n\\]))+)(?P=quote)")
+_OPENING = regex.compile(r"\\?[\"'`]?")
+_GAP = regex.compile(r"\s|\Z")
 #: Characters of invented secrets.
 DRAWN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789!#$%&*()~@^?+-_/."
 _PAIRS = {")": "(", "]": "[", "}": "{", ">": "<"}
@@ -100,23 +103,44 @@ class Lexicon:
 
 def _bare(value: str) -> str:
     """A blank-delimited value without the punctuation of the text around it."""
-    while value and (value[-1] in ".,;:\"'`" or (value[-1] in _PAIRS and value.count(_PAIRS[value[-1]]) < value.count(value[-1]))):
-        value = value[:-1]
-    return value
+    spare = {closing: value.count(closing) - value.count(opening) for closing, opening in _PAIRS.items()}
+    end = len(value)
+    while end and (value[end - 1] in ".,;:\"'`" or spare.get(value[end - 1], 0) > 0):
+        end -= 1
+        if value[end] in spare:
+            spare[value[end]] -= 1
+    return value[:end]
 
 
 def given(text: str) -> list[tuple[int, str]]:
-    """Start and value of all that secret names are given, whole and of any length and characters."""
-    out, at = [], 0
-    while match := _GIVEN.search(text, at):
-        value, at = match.group("value"), match.start("value")
-        if match.group("quote") is None:
-            value = _bare(value)
+    """Start and value of all that secret names are given, whole and of any length and characters.
+
+    A value may hold a name itself, as in "auth: token=...". Of several names in
+    one run without blanks the first and the last count: their values are all of
+    it, and what no name follows.
+    """
+    out, at, end, last = [], 0, -1, None
+
+    def add(start: int, value: str) -> None:
         if value.strip():
-            out.append((at, value))
-        # A value may be a name itself, as in "auth: token=...": the search goes on inside it.
-        at = max(at, match.start() + 1)
-    return out
+            out.append((start, value))
+
+    while match := _GIVES.search(text, at):
+        if quoted := _QUOTED.match(text, match.end()):
+            at = quoted.start("value")
+            add(at, quoted.group("value"))
+            continue
+        at = _OPENING.match(text, match.end()).end()
+        if at < end:
+            last = at
+            continue
+        if last is not None:
+            add(last, _bare(text[last:end]))
+        end, last = _GAP.search(text, at).start(), None
+        add(at, _bare(text[at:end]))
+    if last is not None:
+        add(last, _bare(text[last:end]))
+    return sorted(out)
 
 
 def candidates(text: str) -> list[tuple[int, str]]:

@@ -211,6 +211,21 @@ def test_what_a_secret_name_is_given_is_a_candidate_whole(text):
     assert (text.index(FORMS[text]), FORMS[text]) in secrets.candidates(text)
 
 
+def test_names_inside_values_count_first_and_last():
+    assert secrets.given("auth: token=secret=k9x, z") == [(6, "token=secret=k9x"), (19, "k9x")]
+    assert secrets.given("pwd='' password=(a)) token=") == [(16, "(a)")]
+
+
+@pytest.mark.parametrize("junk", [
+    "password=" * 110_000, "password='" * 100_000, "password=''" * 90_000, "password=" + ")" * 1_000_000, " " * 1_000_000 + "=",
+    "=" + " " * 1_000_000 + "x", "password" + " " * 1_000_000, "token='a\\'" * 90_000, "secret is " * 100_000,
+])
+def test_a_megabyte_of_names_is_read_in_linear_time_and_space(junk):
+    start = time.perf_counter()
+    found = secrets.candidates(junk)
+    assert time.perf_counter() - start < 5 and sum(len(v) for _, v in found) < 10_000_000
+
+
 def test_assigned_secrets_of_any_form_are_found_and_words_are_not(workers, sf_dir):
     docs = workers.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
     texts = [*list(FORMS)[:4], "my token is the one", "author: Smith wrote it", "the password is incorrect"]
