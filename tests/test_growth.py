@@ -1,6 +1,9 @@
 """Steps whose memory, shuffles or writes must not outgrow their input."""
 
+from datetime import datetime
+
 from millrace.operators import quality, upsert
+from millrace.plans import standins as S
 from millrace.sources.layouts import Field
 
 
@@ -25,3 +28,15 @@ def test_columns_are_told_of_broken_rows_only(spark):
     assert [[v.column for v in r[quality.VIOLATIONS]] for r in checked.collect()] == [[], ["a", "b", "c"], [], ["b"]]
     typed = quality.apply_types(rows, fields).collect()
     assert [str(r.a) for r in typed] == ["12.34", "None", "None", "0.50"] and [r.b for r in typed] == [7, None, None, None]
+
+
+def test_feed_files_stay_of_one_size(spark, tmp_path, monkeypatch):
+    line = [(n, n % 7, n % 8, 1, 5.0, "R", "F", datetime(1996, 1, 1 + n % 28)) for n in range(200)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(line, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    few = S.staffing_files(spark, str(tmp_path))
+    monkeypatch.setattr(S, "FILE_ROWS", 10)
+    many = S.staffing_files(spark, str(tmp_path))
+    assert few.select("file_name").distinct().count() == 4
+    assert many.select("file_name").distinct().count() == 20
+    assert sorted(many.drop("file_name").collect()) == sorted(few.drop("file_name").collect())
