@@ -2,8 +2,12 @@
 
 from datetime import datetime
 
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+
 from millrace.operators import quality, upsert
 from millrace.plans import standins as S
+from millrace.sources import sinks
 from millrace.sources.layouts import Field
 
 
@@ -40,3 +44,15 @@ def test_feed_files_stay_of_one_size(spark, tmp_path, monkeypatch):
     assert few.select("file_name").distinct().count() == 4
     assert many.select("file_name").distinct().count() == 20
     assert sorted(many.drop("file_name").collect()) == sorted(few.drop("file_name").collect())
+
+
+def test_republish_writes_rows_once(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/table"
+    sinks.write_partitions(spark.range(6).withColumn("p", F.col("id") % 3), path, "p")
+    stored = spark.read.parquet(path)
+    writes, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(type(stored.write), "parquet", lambda self, to, *a, **b: (writes.append(to), write(self, to, *a, **b))[1])
+    sinks.republish(stored.where("p = 1").withColumn("id", F.col("id") + 10), path, "p")
+    assert len(writes) == 1
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 2, 3, 5, 11, 14]
+    assert [f.name for f in tmp_path.iterdir()] == ["table"]
