@@ -38,6 +38,11 @@ def running_sums(facts: DataFrame) -> DataFrame:
     rows as there are months. Days without a month belong to no range and are
     left out. A facility without a provnum is one like others. Unknown values
     add nothing; how many were known is summed beside them.
+
+    Every month of a facility is a row of zeros beside what it has summed; rows
+    of one month share its sums, and the zeros' row carries them on. So the
+    months are filled by the sort of the running sums, without a hash table of
+    all facilities and months.
     """
     dated = facts.where(F.col("month_key").isNotNull())
     monthly = dated.groupBy("provnum", "month_key").agg(
@@ -51,15 +56,14 @@ def running_sums(facts: DataFrame) -> DataFrame:
     every = spans.select(
         "provnum",
         F.explode(F.transform(F.sequence(_ordinal("first"), _ordinal(F.lit(last).cast("int"))), _month)).alias("month_key"),
-        *[F.lit(None).cast(monthly.schema[c].dataType).alias(c) for c in _SUMS],
-    )
-    filled = monthly.unionByName(every).groupBy("provnum", "month_key").agg(
-        *[F.coalesce(F.max(c), F.lit(0)).cast(monthly.schema[c].dataType).alias(c) for c in _SUMS]
-    )
-    until = Window.partitionBy("provnum").orderBy("month_key").rowsBetween(Window.unboundedPreceding, 0)
-    return filled.select(
-        "provnum", "month_key", *[F.sum(c).over(until).cast(monthly.schema[c].dataType).alias(c) for c in _SUMS]
+        *[F.lit(0).cast(monthly.schema[c].dataType).alias(c) for c in _SUMS], F.lit(True).alias("_every"),
     )
+    known = [F.coalesce(F.col(c), F.lit(0).cast(monthly.schema[c].dataType)).alias(c) for c in _SUMS]
+    both = monthly.select("provnum", "month_key", *known, F.lit(False).alias("_every")).unionByName(every)
+    until = Window.partitionBy("provnum").orderBy("month_key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.select(
+        "provnum", "month_key", *[F.sum(c).over(until).cast(monthly.schema[c].dataType).alias(c) for c in _SUMS], "_every"
+    ).where("_every").drop("_every")
 
 
 def bounding_months(months: Iterable[int], start: int, end: int) -> tuple[int | None, int | None]:

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from millrace.operators import quality, upsert
+from millrace.operators import quality, running, upsert
 from millrace.plans import standins as S
 from millrace.sources import sinks
 from millrace.sources.layouts import Field
@@ -56,3 +56,14 @@ def test_republish_writes_rows_once(spark, tmp_path, monkeypatch):
     assert len(writes) == 1
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 2, 3, 5, 11, 14]
     assert [f.name for f in tmp_path.iterdir()] == ["table"]
+
+
+def test_months_are_filled_without_a_hash_table(spark):
+    days = spark.createDataFrame(
+        [("a", 202401, 3, 1.0, None), ("a", 202403, None, 2.0, 1.0), (None, 202403, 4, 1.0, 0.0)],
+        "provnum string, month_key int, mdscensus int, total_direct_care_hours double, contract_direct_care_hours double",
+    )
+    sums = running.running_sums(days)
+    assert plan(sums).count("Aggregate ") == 2
+    got = sorted((r.provnum or "", r.month_key, r.reporting_days, r.sum_census, r.known_census) for r in sums.collect())
+    assert got == [("", 202403, 1, 4, 1), ("a", 202401, 1, 3, 1), ("a", 202402, 1, 3, 1), ("a", 202403, 2, 3, 1)]
