@@ -1,14 +1,23 @@
 """Steps whose memory, shuffles or writes must not outgrow their input."""
 
+import bz2
+import time
 from datetime import datetime
+from pathlib import Path
 
+import pytest
+from feeds import day, provider, snapshot_file, staffing_file
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from millrace.operators import quality, running, upsert
+from millrace.plans import silver
 from millrace.plans import standins as S
-from millrace.sources import sinks
-from millrace.sources.layouts import Field
+from millrace.plans.lake import Lake
+from millrace.session import scratch_root, staged, written
+from millrace.sources import drops, sinks
+from millrace.sources.files import PACKED_CSV, fingerprint_files, land_files, list_files
+from millrace.sources.layouts import STAFFING_LAYOUT, Field
 
 
 def plan(df):
@@ -67,3 +76,91 @@ def test_months_are_filled_without_a_hash_table(spark):
     assert plan(sums).count("Aggregate ") == 2
     got = sorted((r.provnum or "", r.month_key, r.reporting_days, r.sum_census, r.known_census) for r in sums.collect())
     assert got == [("", 202403, 1, 4, 1), ("a", 202401, 1, 3, 1), ("a", 202402, 1, 3, 1), ("a", 202403, 2, 3, 1)]
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f.rpartition("/")[2] for f in disk.getAllFiles().mkString("\n").splitlines() if "shuffle_" in f}
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark, tmp_path):
+    before = shuffle_files(spark)
+    rows = spark.range(1000).withColumn("p", F.col("id") % 3)
+    assert len(written(rows.repartition(5, "id"), "shuffled").collect()) == 1000
+    sinks.write_partitions(rows, f"{tmp_path}/table", "p")
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") != "true"
+
+
+def test_staged_rows_go_with_their_block(spark):
+    with pytest.raises(ValueError, match="stop"), staged(spark.range(3), "kept") as rows:
+        folder = Path(rows.inputFiles()[0].removeprefix("file://")).parent
+        assert rows.count() == 3 and folder.exists()
+        raise ValueError("stop")
+    assert not folder.exists()
+
+
+def test_a_run_leaves_neither_parsed_nor_merged_rows_behind(spark, tmp_path):
+    (tmp_path / "drop").mkdir()
+    staffing_file(tmp_path / "drop", "PBJ_Daily_Nurse_Staffing_a.csv", [day("1", 20240101), day("2", 20240201)], "2024-05-01T00:00:00")
+    snapshot_file(tmp_path / "drop", "NH_ProviderInfo_Jan2024.csv", [provider("1")], "2024-05-01T00:00:00")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    before = {f.name for f in Path(scratch_root(spark)).iterdir()}
+    run = silver.ingest(lake, fingerprint_files(spark, str(tmp_path / "drop")))
+    left = {f.name.partition("-")[0] for f in Path(scratch_root(spark)).iterdir() if f.name not in before}
+    assert not left & {"parsed", "batch"}
+    assert lake.staffing.count() == 2 and lake.snapshots.count() == 1
+    assert sorted(r.month_key for r in run.months.collect()) == [202401, 202402]
+    assert [r.provnum for r in run.providers.collect()] == ["1"]
+
+
+def test_landed_copies_are_packed_and_still_split(spark, tmp_path, monkeypatch):
+    lines = [day(str(n), 20240101, provname=f"Home, {n * 7919 % 100003}", hrs_rn=n % 100) for n in range(30_000)]
+    source = staffing_file(tmp_path, "PBJ_a [1].csv", lines, "2024-05-01T00:00:00")
+    listed = list_files(spark, str(tmp_path)).withColumn("s3_key", F.lit("PBJ a_1.csv"))
+    assert land_files(listed, f"{tmp_path}/bronze").collect()[0].file_name == "PBJ_a [1].csv"
+    copies = [f for f in (tmp_path / "bronze").iterdir() if f.suffix != ".crc"]
+    assert [f.name for f in copies] == ["PBJ a_1.csv.bz2"]
+    assert bz2.decompress(copies[0].read_bytes()) == source.read_bytes()
+    assert copies[0].stat().st_size * 4 < source.stat().st_size
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        got = drops.read_feed(spark, f"{tmp_path}/bronze", STAFFING_LAYOUT, PACKED_CSV)
+        assert got.select(F.spark_partition_id()).distinct().count() > 1
+        want = drops.read_feed(spark, str(source).replace("[", "\\[").replace("]", "\\]"), STAFFING_LAYOUT)
+        columns = [*STAFFING_LAYOUT.names, drops.MALFORMED]
+        assert want.count() == got.count() == 30_000
+        assert want.select(columns).exceptAll(got.select(columns)).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_are_sent_in_rounds(spark, tmp_path, monkeypatch):
+    rows = spark.range(400).select(
+        F.col("id").cast("string").alias("provnum"), F.lit(20240101).alias("workdate"),
+        F.when(F.col("id") % 20 > 0, F.concat(F.lit("PBJ_"), (F.col("id") % 20).cast("string"), F.lit(".csv"))).alias("file_name"),
+    )
+    rounds, send = [], S._send
+    monkeypatch.setattr(S, "_send", lambda part, *a: (rounds.append({r[0] for r in part.select("file_name").distinct().collect()}), send(part, *a)))
+    for stamp in (1_717_200_000_000, 1_717_300_000_000):
+        S.send_files(rows, STAFFING_LAYOUT, f"{tmp_path}/drop", stamp)
+    assert len(rounds) == 2 * S.ROUNDS and sum(map(len, rounds)) == 40 and max(map(len, rounds)) < 20
+    files = [f for f in (tmp_path / "drop").iterdir() if not f.name.endswith(".crc")]
+    assert len(files) == 20 and {f.stat().st_mtime for f in files} == {1_717_300_000.0}
+    got = [line.split(",")[0] for f in files for line in f.read_text().splitlines()[1:]]
+    assert sorted(got, key=int) == [str(n) for n in range(400)]
+    assert [f.name for f in tmp_path.iterdir()] == ["drop"]
+
+
+def test_stored_rows_are_not_shuffled_by_the_months_reached(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("1", 1, "a", "x"), ("2", 2, "a", "x")], "k string, p int, stamp string, digest string")
+    path, asked, touched = f"{tmp_path}/table", [], silver.touched
+    monkeypatch.setattr(silver, "touched", lambda table, batch, by: (asked.append(batch), touched(table, batch, by))[1])
+    for _ in range(2):
+        reached = silver.merge_rows(rows, path, ["k"], "p", "stamp", "digest")
+    assert all("Aggregate" not in plan(batch) and batch.columns == ["p"] for batch in asked)
+    assert sorted(r.p for r in reached.collect()) == [1, 2]
+    assert sorted(map(tuple, spark.read.parquet(path).select(rows.columns).collect())) == sorted(map(tuple, rows.collect()))
