@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.operators import quality, running, upsert
 from millrace.plans import silver
 from millrace.plans import standins as S
-from millrace.plans.lake import Lake
+from millrace.plans.lake import STAFFING_SCHEMA, Lake
 from millrace.session import scratch_root, staged, written
 from millrace.sources import drops, sinks
 from millrace.sources.files import PACKED_CSV, fingerprint_files, land_files, list_files
@@ -155,6 +155,19 @@ def test_files_are_sent_in_rounds(spark, tmp_path, monkeypatch):
     assert [f.name for f in tmp_path.iterdir()] == ["drop"]
 
 
+def test_a_merge_into_an_empty_table_shuffles_no_join(spark, tmp_path):
+    stored = Lake(spark, str(tmp_path / "lake")).staffing
+    assert "LocalRelation <empty>" in plan(stored) and stored.isEmpty()
+    keys = ["provnum", "workdate"]
+    batch = spark.createDataFrame([("1", 20240101)], "provnum string, workdate int").select(
+        *[(F.col(c) if c in keys else F.lit(None)).cast(t).alias(c) for c, t in stored.dtypes]
+    )
+    merged = upsert.upsert_latest(silver.touched(stored, batch, "month_key"), batch, keys, silver.STAMP, silver.DIGEST)
+    assert "Join" not in plan(merged)
+    assert merged.collect() == batch.collect() and merged.columns == batch.columns
+    assert spark.createDataFrame([], STAFFING_SCHEMA).schema.names == stored.columns
+
+
 def test_stored_rows_are_not_shuffled_by_the_months_reached(spark, tmp_path, monkeypatch):
     rows = spark.createDataFrame([("1", 1, "a", "x"), ("2", 2, "a", "x")], "k string, p int, stamp string, digest string")
     path, asked, touched = f"{tmp_path}/table", [], silver.touched
